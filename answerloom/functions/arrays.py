@@ -17,6 +17,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def places(values: Column) -> Column:
+    """The indices ``0 .. size - 1``; none for an empty array."""
+    return F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
 def run_lengths(values: Column) -> Column:
     """Distinct values with their counts, as ``array<struct<value, n>>``.
 
@@ -25,10 +32,7 @@ def run_lengths(values: Column) -> Column:
     """
 
     def runs(s: Column) -> Column:
-        firsts = F.filter(
-            F.transform(s, lambda x, i: i),
-            lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)),
-        )
+        firsts = F.filter(places(s), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
         return let(
             firsts,
             lambda f: F.transform(

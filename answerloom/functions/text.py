@@ -66,9 +66,11 @@ def ngrams(tokens: Column, min_n: int = 1, max_n: int = 2) -> Column:
     def of_length(t: Column, n: int) -> Column:
         if n == 1:
             return t
-        starts = F.filter(F.transform(t, lambda x, i: i), lambda i: i <= F.size(t) - n)
-        return F.transform(
-            starts, lambda i: F.concat_ws(" ", *[F.get(t, i + j) for j in range(n)])
+        m = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        return F.zip_with(
+            F.slice(of_length(t, n - 1), 1, m),
+            F.slice(t, n, m),
+            lambda shorter, word: F.concat_ws(" ", shorter, word),
         )
 
     return let(tokens, lambda t: F.concat(*[of_length(t, n) for n in range(min_n, max_n + 1)]))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AnswerConfig
-from ..functions.arrays import let
+from ..functions.arrays import let, places
 from .ranking import top_k
 
 
@@ -45,14 +45,24 @@ def null_scores(features: DataFrame) -> DataFrame:
 
 
 def best_positions(logits: Column, n: int) -> Column:
-    """The ``n`` highest logits as ``array<struct<logit, place>>``; ties by place."""
-    keyed = F.transform(
-        logits, lambda x, i: F.struct((-x.cast("double")).alias("minus"), i.alias("place"))
-    )
-    return F.transform(
-        F.slice(F.sort_array(keyed), 1, n),
-        lambda p: F.struct((-p["minus"]).alias("logit"), p["place"].alias("place")),
-    )
+    """The ``n`` highest logits as ``array<struct<logit, place>>``; ties by place.
+
+    Only places at or above the n-th highest value are built and sorted.
+    """
+
+    def best(values: Column) -> Column:
+        ranked = F.sort_array(values, asc=False)
+        lowest = F.get(ranked, F.least(F.size(values), F.lit(n)) - 1)
+        high = let(lowest, lambda low: F.filter(places(values), lambda i: F.get(values, i) >= low))
+        keyed = F.transform(
+            high, lambda i: F.struct((-F.get(values, i)).alias("minus"), i.alias("place"))
+        )
+        return F.transform(
+            F.slice(F.sort_array(keyed), 1, n),
+            lambda p: F.struct((-p["minus"]).alias("logit"), p["place"].alias("place")),
+        )
+
+    return let(logits.cast("array<double>"), best)
 
 
 def top_positions(features: DataFrame, n: int) -> DataFrame:

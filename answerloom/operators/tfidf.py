@@ -36,7 +36,10 @@ def term_freq(df: DataFrame, key: str, text: str, cfg: TfidfConfig, udf=None) ->
         df = df.select(key, tokens.alias("__tokens"))
         tokens = F.col("__tokens")
     counted = df.select(key, F.explode(term_counts(tokens, cfg.min_n, cfg.max_n)).alias("t"))
-    return counted.select(key, F.col("t.value").alias("term"), F.col("t.n").alias("tf"))
+    terms = counted.select(key, F.col("t.value").alias("term"), F.col("t.n").alias("tf"))
+    # Joins on the term would add this filter in some uses only; stated here, all
+    # uses have the same plan and can share one exchange.
+    return terms.where(F.col("term").isNotNull())
 
 
 def term_totals(tf: DataFrame) -> DataFrame:
@@ -78,8 +81,8 @@ def with_idf(vocab: DataFrame, n_passages: Column) -> DataFrame:
 def unit_weights(tf: DataFrame, vocab: DataFrame, cfg: TfidfConfig, key: str) -> DataFrame:
     """``tf * idf`` scaled to length 1 per ``key``; terms outside the vocabulary vanish.
 
-    Passages that arrive partitioned by their id keep that partitioning through
-    the explode and the broadcast join, so the norm needs no exchange.
+    Rows that arrive partitioned by ``key`` keep that partitioning through the
+    broadcast join, so the norm needs no exchange.
     """
     known = vocab.select("term", "idf")
     if cfg.max_features is not None and cfg.max_features <= BROADCAST_VOCAB_ROWS:
@@ -91,7 +94,9 @@ def unit_weights(tf: DataFrame, vocab: DataFrame, cfg: TfidfConfig, key: str) ->
 
 def fit_tfidf(passages: DataFrame, cfg: TfidfConfig = TfidfConfig(), udf=None) -> TfidfIndex:
     """Index ``passages(pid, text)``; nothing runs until the result is used."""
-    tf = term_freq(passages, "pid", "text", cfg, udf)
+    # The vocabulary and the weights both read this exchange, so every passage is
+    # tokenized once; it also puts a passage's terms together for the norm.
+    tf = term_freq(passages, "pid", "text", cfg, udf).repartition("pid")
     n_passages = passages.agg(F.count("*")).scalar()
     vocab = with_idf(build_vocab(tf, cfg.max_features), n_passages)
     return TfidfIndex(vocab, unit_weights(tf, vocab, cfg, "pid"), cfg)

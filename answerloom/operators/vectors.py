@@ -116,8 +116,10 @@ def _search_in_place(vectors: DataFrame, probes: DataFrame, k: int, metric: str)
                     best.add(qids, queries, rows["vec_id"].to_numpy(), _matrix(rows["vec"]))
         yield best.rows()
 
-    probed = F.broadcast(probes.select("cluster").distinct())
-    reached = vectors.select("cluster", "vec_id", "vec").join(probed, "cluster", "left_semi")
+    # Lists stored in folders by cluster are only read where probed.
+    reached = vectors.select("cluster", "vec_id", "vec").where(
+        F.col("cluster").isin(sorted(int(c) for c in wanted))
+    )
     return reached.mapInPandas(run, HIT_SCHEMA)
 
 
@@ -138,23 +140,25 @@ def _search_in_cells(
     # One row per cluster.
     counts = F.broadcast(slices(vectors, "n_v").join(slices(probes, "n_q"), "cluster"))
 
-    def cells(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+    def cells(df: DataFrame, key: str, own: str, other: str):
         slice_no = F.pmod(F.xxhash64(key), F.col(f"n_{own}")).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1))
-        return (
+        cell = ["cluster", "slice_v", "slice_q"]
+        rows = (
             df.join(counts, "cluster")
             .withColumn(f"slice_{own}", slice_no)
             .withColumn(f"slice_{other}", copies)
-            .select("cluster", "slice_v", "slice_q", key, "vec")
-            .groupBy("cluster", "slice_v", "slice_q")
         )
+        # New names keep the sides apart when queries are rows of the vectors.
+        renamed = rows.select(*[F.col(c).alias(f"{own}_{c}") for c in (*cell, key, "vec")])
+        return renamed.groupBy(*[f"{own}_{c}" for c in cell])
 
     def run(vecs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         best = _BestK(k, metric)
         if len(vecs) and len(queries):
             best.add(
-                queries["qid"].to_numpy(), _matrix(queries["vec"]),
-                vecs["vec_id"].to_numpy(), _matrix(vecs["vec"]),
+                queries["q_qid"].to_numpy(), _matrix(queries["q_vec"]),
+                vecs["v_vec_id"].to_numpy(), _matrix(vecs["v_vec"]),
             )
         return best.rows()
 

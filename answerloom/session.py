@@ -32,14 +32,14 @@ def work_dir(spark: SparkSession) -> str:
     that setting gets a temporary folder; a cluster without it is an error,
     because a folder of one machine would be invisible to the others.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="answerloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="answerloom-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -62,7 +62,8 @@ def scan_corpus(spark, sf):
 
 
 def scan_qa(spark, sf):
-    paths = SC.write_qa(X.qa_table(X.passages(spark, sf)), new_path(spark, "qa"))
+    table = X.qa_table(X.passages(spark, sf))
+    paths = SC.write_qa(table, new_path(spark, "qa"), ("train", "validation"))
     return SC.read_qa(spark, paths).select(
         "split", "id", "question", "document_id", "title",
         F.get("answers.answer_start", F.lit(0)).alias("answer_start"),
@@ -245,8 +246,7 @@ def retrieval_hit_rate(spark, sf):
     passages, asked = X.passages(spark, sf), X.questions(spark, sf)
     gold = X.planted_gold(asked, passages)
     hits = S.tfidf_topk(S.fit_tfidf(passages, TFIDF), asked, TOP)
-    rates = E.concat_splits(*[P.hit_rate(hits, gold, k) for k in (1, 5, 10)])
-    return _rounded(rates, "rate")
+    return _rounded(P.hit_rate(hits, gold, [1, 5, 10]), "rate")
 
 
 def vector_topk_l2(spark, sf):
