@@ -55,7 +55,8 @@ def tokenizer_udf(make: Callable[[], Callable[[str], list[str]]]) -> Callable:
             yield texts.map(lambda t: None if t is None else split(t))
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "array<string>")
+    # Marked so that no filter or projection is planned to tokenize twice.
+    return F.pandas_udf(run, "array<string>").asNondeterministic()
 
 
 def ngrams(tokens: Column, min_n: int = 1, max_n: int = 2) -> Column:

@@ -82,9 +82,11 @@ def candidate_spans(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) ->
     and, when a ``max_context`` array is given, starts it does not mark.
     """
     checked = ["max_context"] if "max_context" in features.columns else []
+    # The outer form: the plain one adds a filter on the array's size, which is
+    # pushed down and builds both arrays a second time.
     starts = top_positions(features, cfg.n_best_size).select(
         "example_id", "window_no", "offsets", "text_start", "window_text", "end_top", *checked,
-        F.posexplode("start_top").alias("start_rank", "s"),
+        F.posexplode_outer("start_top").alias("start_rank", "s"),
     )
     starts = starts.withColumn("s_off", F.get("offsets", F.col("s.place"))).where(
         F.col("s_off").isNotNull()
@@ -93,7 +95,7 @@ def candidate_spans(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) ->
         starts = starts.where(F.coalesce(F.get("max_context", F.col("s.place")), F.lit(False)))
     spans = starts.select(
         "example_id", "window_no", "offsets", "text_start", "window_text",
-        "start_rank", "s", "s_off", F.posexplode("end_top").alias("end_rank", "e"),
+        "start_rank", "s", "s_off", F.posexplode_outer("end_top").alias("end_rank", "e"),
     )
     length = F.col("e.place") - F.col("s.place") + 1
     e_off = F.get("offsets", F.col("e.place"))

@@ -38,12 +38,8 @@ def bm25_scores(
     ).select("pid", "len", F.col("t.value").alias("term"), F.col("t.n").alias("tf"))
 
     def block_scores(block: DataFrame) -> DataFrame:
-        wanted = block.select(
-            "id",
-            F.explode(
-                F.array_distinct(tokenize(F.col("question"), tokenizer, udf))
-            ).alias("term"),
-        )
+        asked = block.select("id", tokenize(F.col("question"), tokenizer, udf).alias("words"))
+        wanted = asked.select("id", F.explode(F.array_distinct("words")).alias("term"))
         matched = counted.join(F.broadcast(wanted.select("term").distinct()), "term")
         df = matched.groupBy("term").agg(F.count("*").alias("df"))
         idf = F.log(1 + (corpus["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -51,13 +47,9 @@ def bm25_scores(
         weighted = wanted.join(F.broadcast(df.select("term", idf.alias("idf"))), "term")
         tf = F.col("tf")
         length = 1 - cfg.b + cfg.b * F.col("len") / corpus["avg_len"]
-        return (
-            counted.join(F.broadcast(weighted), "term")
-            .groupBy("pid", "id")
-            .agg(
-                F.sum(F.col("idf") * tf * (cfg.k1 + 1) / (tf + cfg.k1 * length)).alias("score")
-            )
-        )
+        part = F.col("idf") * tf * (cfg.k1 + 1) / (tf + cfg.k1 * length)
+        parts = counted.join(F.broadcast(weighted), "term").select("pid", "id", part.alias("part"))
+        return parts.groupBy("pid", "id").agg(F.sum("part").alias("score"))
 
     blocks = blocks_for_terms(queries, terms_cfg, 0, limit, udf)
     return union_all([block_scores(b) for b in blocks])

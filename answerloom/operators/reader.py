@@ -43,7 +43,9 @@ def score_windows(
         "batches": Iterator[tuple[pd.Series, pd.Series]],
         "return": Iterator[pd.DataFrame],
     }
-    logits = F.pandas_udf(run, LOGITS_TYPE)("input_ids", "attention_mask")
+    # Marked so that no filter or projection is planned to run the model twice.
+    model = F.pandas_udf(run, LOGITS_TYPE).asNondeterministic()
+    logits = model("input_ids", "attention_mask")
     return windows.withColumn("__logits", logits).select(
         *windows.columns, "__logits.start_logits", "__logits.end_logits"
     )

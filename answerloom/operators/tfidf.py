@@ -94,14 +94,25 @@ def unit_weights(tf: DataFrame, vocab: DataFrame, cfg: TfidfConfig, key: str) ->
 
 def fit_tfidf(passages: DataFrame, cfg: TfidfConfig = TfidfConfig(), udf=None) -> TfidfIndex:
     """Index ``passages(pid, text)``; nothing runs until the result is used."""
-    # The vocabulary and the weights both read this exchange, so every passage is
-    # tokenized once; it also puts a passage's terms together for the norm.
-    tf = term_freq(passages, "pid", "text", cfg, udf).repartition("pid")
-    n_passages = passages.agg(F.count("*")).scalar()
-    vocab = with_idf(build_vocab(tf, cfg.max_features), n_passages)
+    tf = passage_terms(passages, cfg, udf)
+    vocab = fit_vocab(passages, tf, cfg)
     return TfidfIndex(vocab, unit_weights(tf, vocab, cfg, "pid"), cfg)
 
 
+def passage_terms(passages: DataFrame, cfg: TfidfConfig, udf=None) -> DataFrame:
+    """Term counts of the passages, with each passage's terms in one partition.
+
+    Deduplicated passages already lie that way and are not moved again.
+    """
+    return term_freq(passages, "pid", "text", cfg, udf).repartition("pid")
+
+
+def fit_vocab(passages: DataFrame, tf: DataFrame, cfg: TfidfConfig) -> DataFrame:
+    """The vocabulary of a corpus with its inverse document frequencies."""
+    n_passages = passages.agg(F.count("*")).scalar()
+    return with_idf(build_vocab(tf, cfg.max_features), n_passages)
+
+
 def transform_queries(index: TfidfIndex, queries: DataFrame, udf=None) -> DataFrame:
     """Unit vectors of ``queries(id, question)`` as rows ``(term, id, weight)``."""
     tf = term_freq(queries, "id", "question", index.config, udf)

@@ -11,6 +11,7 @@ from ..operators.answers import postprocess
 from ..operators.metrics import qa_pairs, squad_metrics
 from ..operators.reader import Reader, score_windows
 from ..operators.windows import make_windows, mask_offsets
+from ..session import stored
 
 
 def scored_features(
@@ -26,8 +27,12 @@ def answer(
     reader_cfg: ReaderConfig = ReaderConfig(),
     answer_cfg: AnswerConfig = AnswerConfig(),
 ) -> tuple[DataFrame, DataFrame]:
-    """Predictions and n-best lists for every example."""
-    features = scored_features(examples, make_reader, reader_cfg)
+    """Predictions and n-best lists for every example.
+
+    The scored windows are written first: the reader is the costly step, and
+    several later steps read its output.
+    """
+    features = stored(scored_features(examples, make_reader, reader_cfg), "scored-windows")
     return postprocess(examples, features, answer_cfg)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -42,6 +42,16 @@ def work_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared work folder once and read it from there.
+
+    Everything later starts from the files, also after losing an executor.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"

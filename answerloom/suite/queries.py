@@ -27,7 +27,7 @@ from ..operators.bm25 import bm25_topk
 from ..operators.passages import assign_passage_ids, corpus_stats, split_paragraphs
 from ..operators.tfidf_ivf import build_tfidf_ivf, tfidf_ivf_topk
 from ..plans import retrieval as P
-from ..plans.answering import scored_features
+from ..plans.answering import answer
 from ..session import new_path
 from ..sources import corpus as SC
 from ..sources import index_store as SI
@@ -142,7 +142,7 @@ def tokens(spark, sf):
 def tokens_udf(spark, sf):
     by_blank = tokenizer_udf(lambda: lambda text: text.split(" "))
     split = X.corpus(spark, sf).select("doc_id", tokenize(F.col("text"), udf=by_blank).alias("t"))
-    return split.select("doc_id", F.posexplode("t").alias("pos", "token"))
+    return split.select("doc_id", F.posexplode_outer("t").alias("pos", "token"))
 
 
 def grams(spark, sf):
@@ -282,7 +282,7 @@ def ivf_retrieve(spark, sf):
 
 def quantize_sq(spark, sf):
     coded = V.quantize(X.vectors(spark, sf), bits=4)
-    return coded.select("vec_id", F.posexplode("codes").alias("dim", "code"))
+    return coded.select("vec_id", F.posexplode_outer("codes").alias("dim", "code"))
 
 
 # Reader features -----------------------------------------------------------
@@ -302,7 +302,7 @@ def windows(spark, sf):
 
 def mask_offsets(spark, sf):
     masked = W.mask_offsets(X.windows(spark, sf)).select(
-        "example_id", "window_no", F.posexplode("offsets").alias("place", "o")
+        "example_id", "window_no", F.posexplode_outer("offsets").alias("place", "o")
     )
     return masked.select(
         "example_id", "window_no", "place",
@@ -376,7 +376,7 @@ def top_positions(spark, sf):
     _, features = _scored(spark, sf)
     top = A.top_positions(features, AnswerConfig().n_best_size)
     return top.select(
-        "example_id", "window_no", F.posexplode("start_top").alias("at", "p")
+        "example_id", "window_no", F.posexplode_outer("start_top").alias("at", "p")
     ).select(
         "example_id", "window_no", (F.col("at") + 1).alias("rank"),
         "p.place", F.round("p.logit", 6).alias("logit"),
@@ -425,8 +425,7 @@ def best_answer_null(spark, sf):
 
 def answer_pipeline(spark, sf):
     examples = X.qa_span(X.passages(spark, sf))
-    features = scored_features(examples, R.arithmetic_reader)
-    predictions, _ = A.postprocess(examples, features)
+    predictions, _ = answer(examples, R.arithmetic_reader)
     scores = M.answer_scores(M.qa_pairs(predictions, examples))
     return _rounded(scores.join(predictions, "id"), "em", "f1")
 

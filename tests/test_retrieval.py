@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from answerloom.config import Bm25Config, TfidfConfig
+from answerloom.functions.text import tokenizer_udf
 from answerloom.operators.bm25 import bm25_topk
 from answerloom.operators.passages import assign_passage_ids, dedup_passages, split_paragraphs
 from answerloom.operators.sizing import query_blocks
@@ -195,3 +196,21 @@ def test_split_paragraphs(spark):
     df = spark.createDataFrame([(1, "one\n\n two \nthree")], "doc_id long, text string")
     got = [(r["paragraph_no"], r["paragraph"]) for r in split_paragraphs(df, min_chars=4).collect()]
     assert got == [(2, "three")]
+
+
+def test_own_tokenizer_runs_once_per_table_and_equals_the_built_in(passages, queries):
+    words = tokenizer_udf(lambda: lambda text: text.split(" "))
+    index = fit_tfidf(passages, udf=words)
+    assert collected(tfidf_topk(index, queries, 3, udf=words)) == plain_tfidf(3)
+    built_in = collected(bm25_topk(passages, queries, 2))
+    assert collected(bm25_topk(passages, queries, 2, udf=words)) == built_in
+    tf = term_freq(passages, "pid", "text", TfidfConfig(), words)
+    assert tf._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_no_query_forms_all_pairs(passages, queries):
+    index = fit_tfidf(passages)
+    for frame in (tfidf_topk(index, queries, 3), bm25_topk(passages, queries, 3),
+                  retrieve(index, passages, queries, 2)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
