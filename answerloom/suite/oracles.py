@@ -141,10 +141,15 @@ qa AS (
     'which words follow word ' || (CASE WHEN n > 0 THEN pid % n ELSE 0 END) || ' here' AS question
   FROM sized
 ),
+places_of AS (SELECT pid, k, least(k + 3, n - 1) AS last FROM qa),
+found AS (
+  SELECT pid, max(CASE WHEN pos = k THEN s END) AS a_start,
+    max(CASE WHEN pos = last THEN e END) AS a_end
+  FROM offs JOIN places_of USING (pid) GROUP BY pid
+),
 ans AS (
-  SELECT qa.pid, a.s AS a_start, b.e AS a_end, substring(qa.text, a.s + 1, b.e - a.s) AS a_text
-  FROM qa JOIN offs a ON a.pid = qa.pid AND a.pos = qa.k
-  JOIN offs b ON b.pid = qa.pid AND b.pos = least(qa.k + 3, qa.n - 1)
+  SELECT pid, a_start, a_end, substring(text, a_start + 1, a_end - a_start) AS a_text
+  FROM found JOIN passages USING (pid)
 ),
 wins AS (
   SELECT pid, text, n, question, w::INT AS window_no, (w * 247)::INT AS first_token,
