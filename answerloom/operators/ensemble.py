@@ -22,11 +22,20 @@ def stack_nbest(lists: list[DataFrame]) -> DataFrame:
 
 
 def ensemble_votes(stacked: DataFrame) -> DataFrame:
-    """Probability sum per question and exact text, and where the text was first seen."""
-    return stacked.groupBy("id", "text").agg(
-        F.sum("probability").alias("votes"),
-        F.min(F.struct("model", "rank")).alias("first_seen"),
+    """Probability sum per question and exact text, and where the text was first seen.
+
+    Model and rank are packed into one number, which a hash aggregate can keep
+    in place; a minimum of structs would sort all rows.
+    """
+    packed = F.shiftleft(F.col("model").cast("long"), 32) + F.col("rank")
+    votes = stacked.groupBy("id", "text").agg(
+        F.sum("probability").alias("votes"), F.min(packed).alias("__first")
     )
+    first_seen = F.struct(
+        F.shiftright("__first", 32).cast("int").alias("model"),
+        (F.col("__first") % (1 << 32)).cast("int").alias("rank"),
+    )
+    return votes.select("id", "text", "votes", first_seen.alias("first_seen"))
 
 
 def ensemble_pick(votes: DataFrame) -> DataFrame:

@@ -245,10 +245,23 @@ def assign_clusters(vectors: DataFrame, centroids: DataFrame) -> IvfIndex:
 
 
 def build_ivf(
-    vectors: DataFrame, n_clusters: int = NUM_CLUSTERS, seed: int = 42, iterations: int = 20
+    vectors: DataFrame,
+    n_clusters: int = NUM_CLUSTERS,
+    seed: int = 42,
+    iterations: int = 20,
+    bits: int | None = None,
 ) -> IvfIndex:
-    """Train centroids on ``vectors(vec_id, vec)`` and assign every vector."""
-    return assign_clusters(vectors, train_centroids(vectors, n_clusters, seed, iterations))
+    """Train centroids on ``vectors(vec_id, vec)`` and assign every vector.
+
+    With ``bits`` the lists hold the values of quantized codes, so searches
+    return distances to those instead of the exact vectors.
+    """
+    index = assign_clusters(vectors, train_centroids(vectors, n_clusters, seed, iterations))
+    if bits is None:
+        return index
+    bounds = dimension_bounds(vectors)
+    coded = dequantize(quantize(index.vectors, bits, bounds), bounds, bits)
+    return IvfIndex(index.centroids, coded.select("vec_id", "vec", "cluster"))
 
 
 def ivf_topk(

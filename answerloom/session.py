@@ -18,6 +18,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", memory)
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

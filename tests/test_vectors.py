@@ -99,3 +99,11 @@ def test_constant_dimension(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 4.0])], "vec_id long, vec array<float>")
     got = {r["vec_id"]: r["codes"] for r in V.quantize(df, 4).collect()}
     assert got == {0: [0, 0], 1: [0, 15]}
+
+
+def test_lists_of_codes_give_nearly_exact_distances(vectors, queries):
+    exact = V.ivf_topk(V.build_ivf(vectors, 4, seed=2), queries, 300, nprobe=4)
+    coded = V.ivf_topk(V.build_ivf(vectors, 4, seed=2, bits=8), queries, 300, nprobe=4)
+    both = exact.join(coded.withColumnRenamed("score", "near"), ["qid", "vec_id"])
+    assert both.count() == exact.count()
+    assert both.agg(F.max(F.abs(F.col("score") - F.col("near")))).first()[0] < 0.5
