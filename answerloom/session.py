@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per context.
+
+    A worker started in another folder than the driver's cannot import it otherwise.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_answerloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="answerloom-package-")
+    archive = Path(folder, "answerloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in root.rglob("*.py"):
+            out.write(file, Path(root.name, file.relative_to(root)))
+    context.addPyFile(str(archive))
+    context._answerloom_shipped = True
