@@ -1,10 +1,12 @@
 """The registered queries of the training-data operators and their oracle SQL."""
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, simhash, token_codes
 
 QUERIES = {
     "op4_mix": mixing.op4_mix,
+    "op5_simhash": simhash.op5_simhash,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_token_codes": token_codes.op8_token_codes,
 }
 ORACLES = {
     "op4_mix": mixing.ORACLE,
