@@ -54,14 +54,28 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out[:n]
 
 
+_TABLES = [np.ones(0, np.uint64)] * 2
+#: Powers up to this length are kept; longer texts make their own.
+_KEPT = 1 << 18
+
+
+def _tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse."""
+    if n > _KEPT:
+        return [_powers(b, n) for b in (_BASE, _INVERSE)]
+    if len(_TABLES[0]) < n:
+        _TABLES[:] = [_powers(b, min(_KEPT, 2 * n)) for b in (_BASE, _INVERSE)]
+    return _TABLES
+
+
 class Prefixes:
     """Hashes of any substring from sums over prefixes."""
 
     def __init__(self, text: np.ndarray):
         n = len(text)
-        self.inverse = _powers(_INVERSE, n + 1)
+        powers, self.inverse = _tables(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTES[text] * _powers(_BASE, n), out=self.sums[1:])
+        np.cumsum(_BYTES[text] * powers[:n], out=self.sums[1:])
 
     def hash(self, start, end) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
@@ -95,18 +109,18 @@ class Anchors:
     def _of(number: int, text: bytes):
         data = np.frombuffer(text, np.uint8)
         sums = Prefixes(data)
-        grams = sums.hash(np.arange(len(data) - GRAM + 1), np.arange(GRAM, len(data) + 1))
+        n = len(data) - GRAM + 1
+        grams = mix((sums.sums[GRAM:] - sums.sums[:n]) * sums.inverse[:n])
         width = LENGTH - GRAM + 1
         least = _least(grams, width)  # of the string that starts here
         padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
         places = np.flatnonzero(_least(padded, width, np.maximum, np.uint64(0)) == grams)
         starts = np.arange(len(least))
         which = np.searchsorted(places, starts)
-        while True:
-            wrong = grams[places[which]] != least
-            if not wrong.any():
-                break
+        wrong = np.flatnonzero(grams[places[which]] != least)
+        while len(wrong):
             which[wrong] += 1
+            wrong = wrong[grams[places[which[wrong]]] != least[wrong]]
         used, low = np.unique(which, return_index=True)
         high = np.concatenate([low[1:], [len(least)]]) - 1
         at = places[used]
@@ -144,7 +158,7 @@ def _slices(found: Anchors):
     return anchors, slices | again.astype(np.uint64), which
 
 
-def _judge(kind, which, values, row):
+def _judge(which, values, row, most: int):
     """Answers for the slices of a bucket; ``which`` numbers anchors."""
     slices, again = values & ~np.uint64(1), (values & np.uint64(1)).astype(bool)
     order = np.lexsort((row, slices, which))
@@ -162,7 +176,7 @@ def _judge(kind, which, values, row):
     several = kinds > 1
     out[several & ~rep] = SORT
     out[several & rep & new] = SHOW
-    hot = several & (kinds > HOT)
+    hot = several & (kinds > most)
     out[hot & ~rep] = LOOK
     out[hot & rep & new] = LOOK_REPEATED
     answers = np.zeros(len(a), np.uint64)
@@ -173,7 +187,7 @@ def _judge(kind, which, values, row):
 SLICES = "anchor long, chunk long, text int, low int, offset int, known boolean, slice binary"
 
 
-def remove_repeats(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def remove_repeats(docs: DataFrame, chunk: int = CHUNK, most: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (starts and ends) of every row."""
     count = 1 + text_bytes(docs) // chunk
     chunked = in_chunks(docs, count)
@@ -185,7 +199,7 @@ def remove_repeats(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
         anchors, slices, _ = _slices(anchors_of(left))
         yield 0, anchors, slices
 
-    answered = answer(send(chunked, first, count), _judge)
+    answered = answer(send(chunked, first, count), lambda kind, which, values, row: _judge(which, values, row, most))
 
     def statuses(found: Anchors, answers: dict) -> np.ndarray:
         anchors, _, which = _slices(found)
@@ -195,8 +209,11 @@ def remove_repeats(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     slice_schema = to_arrow(SLICES)
 
     def edges(key, left, right):
+        answers = answers_by_kind(right)
+        if not any(((a == SORT) | (a == SHOW)).any() for a in answers.get(0, {}).values()):
+            return _arrow([], slice_schema)
         found = anchors_of(left)
-        status = statuses(found, answers_by_kind(right))
+        status = statuses(found, answers)
         rows, shown = [], set()
         for i in np.flatnonzero((status == SORT) | (status == SHOW)).tolist():
             known = bool(status[i] == SHOW)
@@ -228,8 +245,11 @@ def remove_repeats(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     sent_schema = to_arrow(SENT)
 
     def hot(key, left, right):
+        answers = answers_by_kind(right)
+        if not any((a >= LOOK).any() for a in answers.get(0, {}).values()):
+            return _arrow([], sent_schema)
         found = anchors_of(left)
-        _, _, keys, _, n = hot_strings(found, statuses(found, answers_by_kind(right)))
+        _, _, keys, _, n = hot_strings(found, statuses(found, answers))
         rows = [
             (key[0].as_py(), 1, bucket, keys[at].astype("<u8").tobytes(), pack(n[at]))
             for bucket, at in Buckets(keys, count).parts.items()
