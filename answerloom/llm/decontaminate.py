@@ -23,8 +23,10 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_rows, table
 
@@ -199,17 +201,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS)
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    import pyarrow as pa
-    from pyspark.sql import types as T
-
     for block in _blocks(benchmark):
+        docs = docs.filter(_clean(block, errors))
+    return docs
 
-        def clean(texts: pa.Array, block=block) -> pa.Array:
-            matcher = _matcher(block, errors)
-            return pa.array([not matcher.find(t) for t in texts.to_pylist()], pa.bool_())
 
-        docs = docs.filter(F.arrow_udf(clean, T.BooleanType())("text"))
-    return docs
+def _clean(block: list, errors: float) -> Column:
+    def clean(texts: pa.Array) -> pa.Array:
+        matcher = _matcher(block, errors)
+        return pa.array([not matcher.find(t) for t in texts.to_pylist()], pa.bool_())
+
+    return F.arrow_udf(clean, T.BooleanType())("text")
 
 
 _MATCHERS: dict = {}
