@@ -33,6 +33,8 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 ROWS = 3000
 SURE, ROUNDS, NEAR = 0.9, 8, 40
+#: Least log-odds for equal labels of mentions that read alike.
+ALIKE = 5.0
 
 # The patterns. Possessive forms only stop retries that cannot match.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -137,7 +139,7 @@ class Field:
     prior: np.ndarray = field(default_factory=lambda: np.zeros(NONE + 1))
     weights: dict[str, np.ndarray] = field(default_factory=dict)
     chain: np.ndarray = field(default_factory=lambda: np.zeros((NONE + 1, NONE + 1)))
-    skip: np.ndarray = field(default_factory=lambda: 3.0 * np.eye(NONE + 1))
+    skip: np.ndarray = field(default_factory=lambda: ALIKE * np.eye(NONE + 1))
 
 
 def _edges(nodes: list[Mention]):
@@ -169,7 +171,7 @@ def fit(texts: list[str | None]) -> Field:
     prior = np.log(counts / counts.sum())
     common = {f: c for f, c in by_feature.items() if c.sum() >= 5}
     weights = {f: 0.5 * np.log((c + 0.5) / counts * counts.sum() / (c.sum() + 0.5)) for f, c in common.items()}
-    return Field(prior, weights, _association(pairs[False], 1.0), _association(pairs[True], 1.0, 3.0))
+    return Field(prior, weights, _association(pairs[False], 1.0), _association(pairs[True], 1.0, ALIKE))
 
 
 def _association(pairs: np.ndarray, scale: float, least: float = 0.0) -> np.ndarray:

@@ -36,8 +36,9 @@ TOXIC, ORDINARY, LONGEST = 3000, 5000, 20_000
 #: Window and step in bytes; zstandard level and least match.
 WINDOW, STEP, LEVEL, MATCH = 48, 24, 3, 5
 RUNS = (4, 5, 6, 7)
-#: A run is toxic if this share of toxic documents has it, so many times the share of others.
-SHARE, LIFT = 0.015, 25.0
+#: A run is toxic if this share of toxic documents, and at least so many, have it: so many times
+#: the share of others.
+SHARE, LEAST, LIFT = 0.015, 5, 25.0
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 8000
 THRESHOLDS = (2, 3, 4, 5, 6, 8)
 
@@ -120,7 +121,7 @@ def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> Counter:
     for counts, texts in ((inside, toxic), (outside, ordinary)):
         for text in texts:
             counts.update({r for w in set(text.split()) for r in _runs(b" " + w)})
-    least = max(2, SHARE * len(toxic))
+    least = max(LEAST, SHARE * len(toxic))
     bad = {
         r for r, n in inside.items()
         if n >= least and n / len(toxic) > LIFT * (outside[r] + 1) / (len(ordinary) + 1 + LIFT)
