@@ -161,7 +161,7 @@ def exact_dedup(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     prints = stored(fingerprints(docs, piece=piece), "fingerprints")
     grouped = with_group(prints, KEY, row_hash, least, totals)
 
-    clash = _differing(docs, prints, row_hash, piece)
+    clash = stored(_differing(docs, prints, row_hash, piece), "differing")
     fine = grouped.join(clash, list(KEY), "left_anti")
     again = with_group(
         prints.join(clash, list(KEY), "left_semi"), [*KEY, "text_sha256"], F.xxhash64("doc_id"), least, totals
