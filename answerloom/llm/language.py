@@ -232,9 +232,11 @@ def _calibrate(model: LanguageModel, texts: dict[str, list[str]]) -> LanguageMod
 def fit_languages(docs: DataFrame) -> LanguageModel | None:
     """Fit on a bounded sample of the rows outside the held-out fold."""
     usable = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= LONGEST) & ~fold(0))
-    known = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    known = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    # About twice the bound of each language by another hash, so that no window sees a whole language.
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) * F.col("count") < float(2 * ROWS << 20)
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").join(F.broadcast(known), "lang").withColumn("n", order).filter(F.col("n") <= ROWS)
+    ids = usable.select("doc_id", "lang").join(F.broadcast(known), "lang").filter(drawn).withColumn("n", order).filter(F.col("n") <= ROWS)
     ids = ids.select("doc_id", "lang")
     # At most LANGUAGES * ROWS ids.
     rows = usable.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
