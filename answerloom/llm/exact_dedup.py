@@ -182,7 +182,8 @@ def _differing(docs: DataFrame, prints: DataFrame, row_hash, piece: int) -> Data
     totals = parts.groupBy(*KEY).agg(F.min("keep_id").alias("keep_id"), F.sum("size").alias("size")).filter("size > 1")
     salts = parts.select(*KEY, "salt").join(totals, list(KEY))
     texts = fingerprints(docs, True, piece).withColumn("salt", salt)
-    members = texts.join(salts, [*KEY, "salt"])
+    # Texts of groups only, written once: both sides of the comparison read them.
+    members = stored(texts.join(salts, [*KEY, "salt"]), "members")
     first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     chunk = F.explode(F.sequence(F.lit(0), F.floor((F.greatest("n_bytes", F.lit(1)) - 1) / CHUNK).cast("int"))).alias("no")
     content = F.substring("norm", F.col("no") * CHUNK + 1, F.lit(CHUNK))
