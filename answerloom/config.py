@@ -26,7 +26,7 @@ CELL_ROWS = 50_000
 class TfidfConfig:
     """Vocabulary and tokenizer settings of a TF-IDF index."""
 
-    max_features: int = MAX_FEATURES
+    max_features: int | None = MAX_FEATURES
     min_n: int = NGRAM_RANGE[0]
     max_n: int = NGRAM_RANGE[1]
     tokenizer: str = "regex"

@@ -17,8 +17,13 @@ from ..session import stored
 def scored_features(
     examples: DataFrame, make_reader: Callable[[], Reader], cfg: ReaderConfig = ReaderConfig()
 ) -> DataFrame:
-    """Windows of ``examples(id, question, context)`` with masked offsets and logits."""
-    return score_windows(mask_offsets(make_windows(examples, cfg)), make_reader)
+    """Windows of ``examples(id, question, context)`` with masked offsets and logits.
+
+    Windows are dealt out one by one before the reader, the dearest step, so the
+    windows of one long text do not stay in one task.
+    """
+    windows = mask_offsets(make_windows(examples, cfg)).repartition("example_id", "window_no")
+    return score_windows(windows, make_reader)
 
 
 def answer(

@@ -4,6 +4,7 @@ import pytest
 from compare import compare, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
+from answerloom.suite.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,13 +14,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, SF, name, queries()[name], oracle_sql().get(name)) is None
 
 
 def test_only_trained_clusters_lack_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"ivf_assign", "ivf_retrieve"}
+    assert set(QUERIES) - set(oracle_sql()) == {"ivf_assign", "ivf_retrieve"}
 
 
 def test_entry(spark):

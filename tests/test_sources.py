@@ -162,3 +162,20 @@ def test_null_odds_are_written(spark, tmp_path, examples):
     paths = SP.write_predictions(predictions, nested, str(tmp_path / "null"))
     odds = spark.read.json(paths["null_odds"])
     assert set(odds.columns) == {"id", "score_diff"} and odds.count() == 4
+
+
+def test_index_settings_come_from_the_index(spark, tmp_path):
+    from dataclasses import replace
+
+    passages = spark.createDataFrame([(1, "red fox"), (2, "red dog")], "pid long, text string")
+    cfg = TfidfConfig(max_features=None, buckets=8)
+    SI.load_or_build(passages, str(tmp_path / "index"), cfg)
+    assert SI.load_index(spark, str(tmp_path / "index"), cfg).vocab.count() > 0
+    with pytest.raises(SI.StaleIndex):
+        SI.load_index(spark, str(tmp_path / "index"), replace(cfg, buckets=4))
+    # A rebuild that broke off leaves a meta row that fits no index.
+    SI._write_meta(spark, str(tmp_path / "index"), cfg, "incomplete", "overwrite")
+    with pytest.raises(SI.StaleIndex):
+        SI.load_index(spark, str(tmp_path / "index"), cfg)
+    with pytest.raises(ValueError, match="name the tokenizer"):
+        SI.build_index(passages, str(tmp_path / "other"), cfg, "x", udf=lambda t: t)
