@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -52,6 +55,9 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: T.StructType |
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
                 )
+                del batch, out
+        del work
+        give_back()
 
     return df.mapInArrow(run, kind)
 
@@ -63,6 +69,16 @@ def to_arrow(schema: T.StructType | str) -> pa.Schema:
     return to_arrow_schema(kind)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks beside the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     """Null-safe equality of columns, for joins."""
     out = F.lit(True)

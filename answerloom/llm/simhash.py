@@ -115,8 +115,8 @@ def _stars(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (signed) and component_id of every row."""
-    prints = stored(docs.select("doc_id", fingerprint().alias("fp")), "simhash")
+    """doc_id, row (a hash of the text), fp (signed) and component_id of every row."""
+    prints = stored(docs.select("doc_id", F.xxhash64("text").alias("row"), fingerprint().alias("fp")), "simhash")
     once = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(once.select("fp")))
     named = once.join(roots, once["fp"] == roots["node"], "left").select(
@@ -127,18 +127,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Rows of one fingerprint may be many: they meet its label over salted keys.
     salted = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(1024)))
     keys = salted.select("fp", "salt").distinct().join(labels, "fp")
-    return salted.join(keys, ["fp", "salt"]).select("doc_id", "fp", "component_id")
+    return salted.join(keys, ["fp", "salt"]).select("doc_id", "row", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component stays: that with the least id (of repeated rows, one)."""
     found = near_duplicates(docs)
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     kept = found.groupBy("component_id", F.pmod(F.xxhash64("doc_id"), F.lit(1024)).alias("salt")).agg(first.alias("f"))
-    kept = kept.groupBy("component_id").agg(F.min("f").alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.fp").alias("_fp"))
-    marked = docs.withColumn("_print", fingerprint())
-    joined = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_print"] == kept["_fp"]))
-    return joined.dropDuplicates(["_id", "_fp"]).select(*(docs[c] for c in docs.columns))
+    kept = kept.groupBy("component_id").agg(F.min("f").alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.row").alias("_row"))
+    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_row"]))
+    return joined.dropDuplicates(["_id", "_row"]).select(*(docs[c] for c in docs.columns))
 
 
 def op5_simhash(spark, sf_dir):

@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from .common import map_rows, running_total, table, to_arrow, utf8
+from .common import give_back, map_rows, running_total, table, to_arrow, utf8
 
 END = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Ids of a shard, if its documents allow.
 SHARD = 1 << 19
-#: Words and word pieces a worker remembers from batch to batch.
-REMEMBERED = 300_000
+#: Words and word pieces a task remembers from shard to shard.
+REMEMBERED = 100_000
 _BLOCK = 512  # bits per entry of the rank directory
 
 
@@ -189,16 +189,6 @@ class WordEncoder:
         return np.concatenate(out), np.cumsum(lengths)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and vocabulary file; it outlives the task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -216,7 +206,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, shard:
     schema = to_arrow(SHARDS)
 
     def run(batches):
-        encoder = word_encoder(vocabulary or tokenizer_path())
+        # The encoder ends with the task: idle workers of later stages keep no words.
+        encoder = WordEncoder(vocabulary or tokenizer_path())
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
@@ -230,6 +221,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, shard:
                 row = ([part], [seq], [ids[at:to]], [ends.tolist()], [len(tokens)], [encode(tokens)])
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
                 at, seq = to, seq + 1
+        del encoder
+        give_back()
 
     rows = docs.select("doc_id", utf8().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     rows.mapInArrow(run, SHARDS).write.option("compression", "uncompressed").parquet(path)
