@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from ..config import BROADCAST_BYTES, TOP_K_RETRIEVAL, TfidfConfig
 from ..functions.text import term_counts, tokenize
 from .ranking import top_k
-from .sizing import query_blocks, union_all
+from .sizing import measured_bytes
 
 # A vocabulary is cut to `max_features` rows by construction; up to this many
 # it is broadcast, beyond that the join is left to the optimizer.
 BROADCAST_VOCAB_ROWS = 1_000_000
 # Bytes one entry of a broadcast query table takes besides its term.
 ENTRY_BYTES = 48
+# Postings of one term that may meet a large query set in one task.
+SLICE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -126,10 +128,10 @@ def oov_queries(index: TfidfIndex, queries: DataFrame, udf=None) -> DataFrame:
     return queries.join(known, "id", "left_anti")
 
 
-def blocks_for_terms(
+def fits_broadcast(
     queries: DataFrame, cfg: TfidfConfig, k: int, limit: int, udf=None
-) -> list[DataFrame]:
-    """Query blocks whose terms, and whose ``k`` hits each, are small enough to broadcast."""
+) -> bool:
+    """Whether the terms of all queries, and ``k`` hits for each, take at most ``limit`` bytes."""
     n_words = F.size(tokenize(F.col("question"), cfg.tokenizer, udf)).cast("long")
     # n words give at most n terms per n-gram length, and an n-gram of length m
     # repeats the text at most m times.
@@ -139,20 +141,45 @@ def blocks_for_terms(
         + F.octet_length("question").cast("long") * (2 * sum(lengths))
         + ENTRY_BYTES * k
     )
-    sized = queries.withColumn("__bytes", row_bytes)
-    blocks = query_blocks(sized, "id", F.col("__bytes"), limit)
-    return [block.drop("__bytes") for block in blocks]
+    sized = queries.select(row_bytes.alias("__bytes"))
+    return measured_bytes(sized, F.col("__bytes")) <= limit
 
 
-def score_block(index: TfidfIndex, queries: DataFrame, udf=None) -> DataFrame:
-    """Cosine of every passage sharing a term with each query of a measured block."""
+def term_join(
+    postings: DataFrame, wanted: DataFrame, totals: DataFrame, keys: list[str], small: bool
+) -> DataFrame:
+    """Postings with the query rows ``wanted`` of their term, in one plan for any query set.
+
+    A small query table, by a measure the caller made, is broadcast and the postings
+    stay in place. Else both sides meet by term; a term with more than ``SLICE_ROWS``
+    postings by ``totals(term, df)`` meets in slices of its passages, its query rows
+    repeated in each slice.
+    """
+    if small:
+        return postings.join(F.broadcast(wanted), keys)
+    hot = totals.where(F.col("df") > SLICE_ROWS).select(
+        "term", F.ceil(F.col("df") / SLICE_ROWS).cast("int").alias("slices")
+    )
+    size = measured_bytes(hot, F.octet_length("term") + ENTRY_BYTES)
+    if size == 0:
+        return postings.join(wanted, keys)
+    if size <= BROADCAST_BYTES:
+        hot = F.broadcast(hot)
+    n = F.coalesce("slices", F.lit(1))
+    left = postings.join(hot, "term", "left").withColumn("slice", F.pmod(F.xxhash64("pid"), n).cast("int"))
+    right = wanted.join(hot, "term", "left").withColumn("slice", F.explode(F.sequence(F.lit(0), n - 1)))
+    return left.drop("slices").join(right.drop("slices"), [*keys, "slice"]).drop("slice")
+
+
+def scores_of(index: TfidfIndex, queries: DataFrame, small: bool, udf=None) -> DataFrame:
+    """Cosine of every passage sharing a term with each query; ``small`` was measured."""
     vectors = transform_queries(index, queries, udf).withColumnRenamed("weight", "q_weight")
     keys = ["term"]
     if "bucket" in index.postings.columns:
         vectors = vectors.withColumn("bucket", term_bucket(index.config))
         keys = ["bucket", "term"]
     return (
-        index.postings.join(F.broadcast(vectors), keys)
+        term_join(index.postings, vectors, index.vocab, keys, small)
         .groupBy("pid", "id")
         .agg(F.sum(F.col("weight") * F.col("q_weight")).alias("score"))
     )
@@ -162,8 +189,7 @@ def score(
     index: TfidfIndex, queries: DataFrame, limit: int = BROADCAST_BYTES, udf=None
 ) -> DataFrame:
     """Rows ``(id, pid, score)`` for every pair with a common known term."""
-    blocks = blocks_for_terms(queries, index.config, 0, limit, udf)
-    return union_all([score_block(index, b, udf) for b in blocks])
+    return scores_of(index, queries, fits_broadcast(queries, index.config, 0, limit, udf), udf)
 
 
 def score_order(score_col: str = "score") -> list[Column]:

@@ -221,11 +221,9 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"), "label")
 
 
-def exemplars(vectors: DataFrame) -> DataFrame:
-    """The first vector of each label as query ``(qid, vec)``."""
-    return vectors.groupBy(F.col("label").cast("long").alias("qid")).agg(
-        F.min_by("vec", "vec_id").alias("vec")
-    )
+def every_vector(vectors: DataFrame) -> DataFrame:
+    """Each vector as query ``(qid, vec)``."""
+    return vectors.select(F.col("vec_id").alias("qid"), "vec")
 
 
 def label_means(vectors: DataFrame) -> DataFrame:

@@ -327,12 +327,12 @@ votes AS (
 
 # Vectors --------------------------------------------------------------------
 
-EXEMPLARS = """
-queries AS (SELECT label::BIGINT AS qid, arg_min(embedding, vec_id) AS vec FROM embeddings GROUP BY label)"""
+EVERY_VECTOR = """
+queries AS (SELECT vec_id AS qid, embedding AS vec FROM embeddings)"""
 
 
 def _neighbours(score: str, order: str) -> str:
-    return f"""WITH {EXEMPLARS},
+    return f"""WITH {EVERY_VECTOR},
 s AS (SELECT qid, vec_id, {score} AS score FROM queries, embeddings)
 SELECT qid, vec_id, round(score, 6) AS score,
   row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) {order}, vec_id) AS rank
@@ -346,7 +346,7 @@ def _sq(a: str, b: str) -> str:
     )
 
 
-IVF = f"""WITH {EXEMPLARS},
+LISTS = f"""WITH {EVERY_VECTOR},
 dims AS (
   SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings
 ),
@@ -358,7 +358,8 @@ lists AS (
   SELECT vec_id, embedding, cluster FROM embeddings, centers
   QUALIFY row_number() OVER (
     PARTITION BY vec_id ORDER BY round({_sq("embedding", "center")}, 9), cluster) = 1
-),
+)"""
+IVF = f"""{LISTS},
 probes AS (
   SELECT qid, vec, cluster FROM queries, centers
   QUALIFY row_number() OVER (
@@ -418,7 +419,7 @@ ORACLES: dict[str, str] = {
     "dedup_passages": f"WITH {PASSAGES} SELECT pid, text FROM passages",
     "passage_ids": f"""WITH {PASSAGES}
         SELECT pid, row_number() OVER (ORDER BY pid) - 1 AS passage_id FROM passages""",
-    "reader_input": f"""{_search()},{GOLD},{_context(2)}
+    "reader_input": f"""{_search()},{GOLD},{_context(10)}
         SELECT q.id::VARCHAR AS id, q.question, coalesce(c.context, '') AS context,
           g.answer_start::INT AS answer_start,
           CASE WHEN g.id IS NOT NULL THEN q.question END AS answer_text
@@ -450,7 +451,7 @@ ORACLES: dict[str, str] = {
     "split_paragraphs": r"""SELECT doc_id, paragraph_no, trim(p) AS paragraph FROM (
           SELECT doc_id, unnest(range(len(string_split_regex(text, '\n+'))))::INT AS paragraph_no,
             unnest(string_split_regex(text, '\n+')) AS p FROM documents
-        ) WHERE length(trim(p)) >= 20""",
+        ) WHERE length(trim(p)) >= 1""",
     "corpus_stats": """SELECT count(*) AS n_rows, count(DISTINCT text) AS n_unique,
           round(avg(length(text)), 6) AS mean_chars, min(length(text))::INT AS min_chars,
           max(length(text))::INT AS max_chars,
@@ -461,7 +462,7 @@ ORACLES: dict[str, str] = {
     "tfidf_scores": f"""WITH {INDEX},{QUESTIONS},{QVEC},{SCORES}
         SELECT id, pid, round(score, 6) AS score FROM scores""",
     "tfidf_topk": TOPK,
-    "retrieve_context": f"""{_search()},{GOLD},{_context(3)}
+    "retrieve_context": f"""{_search()},{GOLD},{_context(10)}
         SELECT q.id, q.question, coalesce(c.context_ids, '') AS context_ids,
           coalesce(c.score_sum, 0) AS score_sum, coalesce(c.context, '') AS context,
           p.text AS original_context, g.answer_start::BIGINT AS answer_start
@@ -484,6 +485,23 @@ ORACLES: dict[str, str] = {
         "list_dot_product(vec::DOUBLE[], embedding::DOUBLE[])", "DESC"
     ),
     "ivf_topk": IVF,
+    "ivf_assign_means": f"{LISTS} SELECT vec_id, cluster::INT AS cluster FROM lists",
+    "ivf_retrieve_all": f"""WITH {INDEX},{QUESTIONS},{QVEC},{SCORES},
+        far AS (
+          SELECT k.id, p.pid, p.text, 2 - 2 * coalesce(s.score, 0) AS d
+          FROM (SELECT DISTINCT id FROM qvec) k CROSS JOIN passages p
+          LEFT JOIN scores s ON s.id = k.id AND s.pid = p.pid
+        ),
+        nearest AS (
+          SELECT id, pid, text, row_number() OVER (PARTITION BY id ORDER BY round(d, 9), pid) AS rank
+          FROM far QUALIFY rank <= 10
+        ),
+        ctx AS (
+          SELECT id, string_agg(pid::VARCHAR, ',' ORDER BY rank) AS context_ids,
+            string_agg(text, ' ' ORDER BY rank) AS context FROM nearest GROUP BY id
+        )
+        SELECT q.id, coalesce(context_ids, '') AS context_ids, coalesce(context, '') AS context
+        FROM questions q LEFT JOIN ctx USING (id)""",
     "quantize_sq": """WITH dims AS (
           SELECT vec_id, unnest(embedding)::DOUBLE AS x,
             unnest(range(len(embedding)))::INT AS dim FROM embeddings

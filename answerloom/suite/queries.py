@@ -25,7 +25,7 @@ from ..operators import vectors as V
 from ..operators import windows as W
 from ..operators.bm25 import bm25_topk
 from ..operators.passages import assign_passage_ids, corpus_stats, split_paragraphs
-from ..operators.tfidf_ivf import build_tfidf_ivf, tfidf_ivf_topk
+from ..operators.tfidf_ivf import build_tfidf_ivf
 from ..plans import retrieval as P
 from ..plans.answering import answer
 from ..session import new_path
@@ -83,7 +83,7 @@ def ivf_roundtrip(spark, sf):
     vecs = X.vectors(spark, sf)
     path = new_path(spark, "ivf")
     SI.save_ivf(V.assign_clusters(vecs, X.label_means(vecs)), path)
-    hits = V.ivf_topk(SI.load_ivf(spark, path), X.exemplars(vecs), TOP, nprobe=2)
+    hits = V.ivf_topk(SI.load_ivf(spark, path), X.every_vector(vecs), TOP, nprobe=2)
     return _rounded(hits, "score")
 
 
@@ -176,7 +176,7 @@ def clean(spark, sf):
 
 
 def paragraphs(spark, sf):
-    return split_paragraphs(X.corpus(spark, sf), min_chars=20)
+    return split_paragraphs(X.corpus(spark, sf))
 
 
 def stats(spark, sf):
@@ -216,7 +216,7 @@ def _retrieved(spark, sf, k):
 
 
 def retrieve_context(spark, sf):
-    return _retrieved(spark, sf, 3).select(
+    return _retrieved(spark, sf, TOP).select(
         "id", "question",
         F.array_join(F.col("context_ids").cast("array<string>"), ",").alias("context_ids"),
         F.round(F.aggregate("scores", F.lit(0.0), lambda a, s: a + s), 6).alias("score_sum"),
@@ -226,7 +226,7 @@ def retrieve_context(spark, sf):
 
 
 def reader_input(spark, sf):
-    rows = P.reader_input(_retrieved(spark, sf, 2), "eval")
+    rows = P.reader_input(_retrieved(spark, sf, TOP), "eval")
     return rows.select(
         "id", "question", "context",
         F.get("answers.answer_start", F.lit(0)).alias("answer_start"),
@@ -251,35 +251,50 @@ def retrieval_hit_rate(spark, sf):
 
 def vector_topk_l2(spark, sf):
     vecs = X.vectors(spark, sf)
-    return _rounded(V.vector_topk(vecs, X.exemplars(vecs), TOP, "l2"), "score")
+    return _rounded(V.vector_topk(vecs, X.every_vector(vecs), TOP, "l2"), "score")
 
 
 def vector_topk_ip(spark, sf):
     vecs = X.vectors(spark, sf)
-    return _rounded(V.vector_topk(vecs, X.exemplars(vecs), TOP, "ip"), "score")
+    return _rounded(V.vector_topk(vecs, X.every_vector(vecs), TOP, "ip"), "score")
 
 
 def ivf_assign(spark, sf):
-    index = V.build_ivf(X.vectors(spark, sf), n_clusters=16, seed=42)
+    index = V.build_ivf(X.vectors(spark, sf), seed=42)
     return index.vectors.select("vec_id", "cluster")
 
 
 def ivf_topk(spark, sf):
     vecs = X.vectors(spark, sf)
     index = V.assign_clusters(vecs, X.label_means(vecs))
-    return _rounded(V.ivf_topk(index, X.exemplars(vecs), TOP, nprobe=2), "score")
+    return _rounded(V.ivf_topk(index, X.every_vector(vecs), TOP, nprobe=2), "score")
 
 
 def ivf_retrieve(spark, sf):
     passages, asked = X.passages(spark, sf), X.questions(spark, sf)
-    ivf = build_tfidf_ivf(S.fit_tfidf(passages, TFIDF), passages, n_clusters=16, iterations=5)
-    hits = tfidf_ivf_topk(ivf, asked, 3, nprobe=1)
-    return P.attach_contexts(hits, passages, asked).select(
+    ivf = build_tfidf_ivf(S.fit_tfidf(passages, TFIDF), passages)
+    return P.retrieve_clustered(ivf, passages, asked).select(
         "id", F.array_join(F.col("context_ids").cast("array<string>"), ",").alias("context_ids"),
         "context",
     )
 
 
+def ivf_retrieve_all(spark, sf):
+    """Every list probed, so the result is that of an exhaustive search."""
+    passages, asked = X.passages(spark, sf), X.questions(spark, sf)
+    ivf = build_tfidf_ivf(S.fit_tfidf(passages, TFIDF), passages)
+    found = P.retrieve_clustered(ivf, passages, asked, nprobe=len(ivf.centers))
+    return found.select(
+        "id", F.array_join(F.col("context_ids").cast("array<string>"), ",").alias("context_ids"),
+        "context",
+    )
+
+
+def ivf_assign_means(spark, sf):
+    vecs = X.vectors(spark, sf)
+    return V.assign_clusters(vecs, X.label_means(vecs)).vectors.select("vec_id", "cluster")
+
+
 def quantize_sq(spark, sf):
     coded = V.quantize(X.vectors(spark, sf), bits=4)
     return coded.select("vec_id", F.posexplode_outer("codes").alias("dim", "code"))
@@ -528,6 +543,8 @@ QUERIES: dict[str, Query] = {
     "ivf_assign": ivf_assign,
     "ivf_topk": ivf_topk,
     "ivf_retrieve": ivf_retrieve,
+    "ivf_retrieve_all": ivf_retrieve_all,
+    "ivf_assign_means": ivf_assign_means,
     "quantize_sq": quantize_sq,
     "windows": windows,
     "token_offsets": offsets,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from answerloom.config import Bm25Config, TfidfConfig
 from answerloom.functions.text import tokenizer_udf
-from answerloom.operators.bm25 import bm25_topk
+from answerloom.operators.bm25 import bm25_topk, build_bm25, load_bm25
 from answerloom.operators.passages import assign_passage_ids, dedup_passages, split_paragraphs
 from answerloom.operators.sizing import query_blocks
 from answerloom.operators.tfidf import (
@@ -124,6 +124,32 @@ def test_many_query_blocks_give_the_same_hits(passages, queries):
         query_blocks(queries, "id", row_bytes, 10)
 
 
+def test_large_query_sets_meet_postings_by_term_in_one_plan(passages, queries, monkeypatch):
+    """Without room to broadcast, hot terms are cut into slices and no hit changes."""
+    monkeypatch.setattr("answerloom.operators.tfidf.SLICE_ROWS", 1)
+    index = fit_tfidf(passages)
+    plain = bm25_topk(passages, queries, 3)
+    assert collected(tfidf_topk(index, queries, 3, limit=0)) == plain_tfidf(3)
+    assert collected(bm25_topk(passages, queries, 3, limit=0)) == collected(plain)
+    found = {r["id"]: r["context_ids"] for r in retrieve(index, passages, queries, 2, limit=0).collect()}
+    assert found == {r["id"]: r["context_ids"] for r in retrieve(index, passages, queries, 2).collect()}
+    many = queries.select("question", F.explode(F.sequence(F.col("id") * 1000, F.col("id") * 1000 + 200)).alias("id"))
+
+    def joins(asked):
+        plan = tfidf_topk(index, asked, 3, limit=0)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Join")
+
+    assert joins(many) == joins(queries)
+
+
+def test_stored_bm25_index(spark, passages, queries, tmp_path):
+    build_bm25(passages, str(tmp_path / "bm25"))
+    again = load_bm25(spark, str(tmp_path / "bm25"))
+    assert collected(bm25_topk(again, queries, 2)) == collected(bm25_topk(passages, queries, 2))
+    empty = build_bm25(passages.limit(0))
+    assert bm25_topk(empty, queries, 2).count() == 0
+
+
 def test_bm25_equals_brute_force(passages, queries):
     k1, b = 1.2, 0.6
     texts = {pid: t.split() for pid, t in sorted((min(i for i, x in DOCS if x == t), t) for _, t in DOCS)}
@@ -183,7 +209,14 @@ def test_clustered_search_over_all_lists_equals_exhaustive(passages, queries):
     ivf = build_tfidf_ivf(index, passages, n_clusters=3, iterations=5)
     got = tfidf_ivf_topk(ivf, queries, 3, nprobe=3)
     as_cosine = got.withColumn("score", 1 - F.col("score") / 2)
-    assert collected(as_cosine) == plain_tfidf(3)
+    assert [r for r in collected(as_cosine) if r[3] > 0] == plain_tfidf(3)
+    # Every query with a known term gets all it asks for: the rest has distance 2, by passage id.
+    assert {r["id"]: r["count"] for r in got.groupBy("id").count().collect()} == {0: 3, 1: 3, 3: 3, 4: 3}
+    shared = {(q, pid) for q, pid, _, _ in plain_tfidf(10)}
+    unlike = [(q, pid) for q, pid, _, s in collected(as_cosine) if s == 0]
+    assert unlike == [(1, 1), (3, 3), (4, 1)]
+    assert not shared & set(unlike)
+    assert collected(tfidf_ivf_topk(ivf, queries, 3, nprobe=3, limit=1)) == collected(got)
     one = tfidf_ivf_topk(ivf, queries, 3, nprobe=1)
     lists = {r["pid"]: r["cluster"] for r in ivf.lists.collect()}
     by_query = {}
