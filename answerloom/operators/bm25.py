@@ -42,7 +42,7 @@ def build_bm25(
     # A passage's length is the sum of its term counts.
     written.agg(
         F.count_distinct("pid").alias("n"), F.coalesce(F.sum("tf"), F.lit(0)).alias("words")
-    ).select("n", (F.col("words") / F.col("n")).alias("avg_len")).write.parquet(f"{path}/stats")
+    ).select("n", (F.col("words") / F.nullif("n", F.lit(0))).alias("avg_len")).write.parquet(f"{path}/stats")
     return load_bm25(spark, path)
 
 
