@@ -75,40 +75,77 @@ def top_positions(features: DataFrame, n: int) -> DataFrame:
     )
 
 
-def candidate_spans(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) -> DataFrame:
+def _window_spans(features: DataFrame, cfg: AnswerConfig) -> Column:
+    """All allowed spans of a window row, with where and in which order they were formed."""
+    offsets = F.col("offsets")
+
+    def inside(top: Column, marked: Column | None) -> Column:
+        """Positions within the context, with their rank and characters."""
+        placed = F.transform(
+            top,
+            lambda p, i: F.struct(
+                i.alias("rank"), p["place"].alias("place"), p["logit"].alias("logit"),
+                F.get(offsets, p["place"]).alias("off"),
+            ),
+        )
+
+        def allowed(p: Column) -> Column:
+            kept = p["off"].isNotNull()
+            return kept if marked is None else kept & F.coalesce(F.get(marked, p["place"]), F.lit(False))
+
+        return F.filter(placed, allowed)
+
+    def span(s: Column, e: Column) -> Column:
+        return F.struct(
+            (-(s["logit"] + e["logit"])).alias("minus"),
+            s["rank"].alias("start_rank"), e["rank"].alias("end_rank"),
+            s["place"].alias("start_place"), e["place"].alias("end_place"),
+            s["off"]["start"].alias("start_char"), e["off"]["end"].alias("end_char"),
+            s["logit"].alias("start_logit"), e["logit"].alias("end_logit"),
+        )
+
+    def pairs(ends: Column) -> Column:
+        def from_start(s: Column) -> Column:
+            near = F.filter(
+                ends,
+                lambda e: (e["place"] >= s["place"])
+                & (e["place"] < s["place"] + cfg.max_answer_length),
+            )
+            return F.transform(near, lambda e: span(s, e))
+
+        return F.flatten(F.transform(inside(F.col("start_top"), checked), from_start))
+
+    checked = F.col("max_context") if "max_context" in features.columns else None
+    return let(inside(F.col("end_top"), None), pairs)
+
+
+def candidate_spans(
+    features: DataFrame, cfg: AnswerConfig = AnswerConfig(), most: int | None = None
+) -> DataFrame:
     """Every allowed start x end combination of the best positions of a window.
 
     Dropped are spans outside the context, backwards or longer than allowed,
-    and, when a ``max_context`` array is given, starts it does not mark.
+    and, when a ``max_context`` array is given, starts it does not mark. With
+    ``most`` only the best spans of each window become rows.
     """
-    checked = ["max_context"] if "max_context" in features.columns else []
+    spans = _window_spans(features, cfg)
+    if most is not None:
+        spans = F.slice(F.sort_array(spans), 1, most)
     # The outer form: the plain one adds a filter on the array's size, which is
-    # pushed down and builds both arrays a second time.
-    starts = top_positions(features, cfg.n_best_size).select(
-        "example_id", "window_no", "offsets", "text_start", "window_text", "end_top", *checked,
-        F.posexplode_outer("start_top").alias("start_rank", "s"),
-    )
-    starts = starts.withColumn("s_off", F.get("offsets", F.col("s.place"))).where(
-        F.col("s_off").isNotNull()
-    )
-    if checked:
-        starts = starts.where(F.coalesce(F.get("max_context", F.col("s.place")), F.lit(False)))
-    spans = starts.select(
-        "example_id", "window_no", "offsets", "text_start", "window_text",
-        "start_rank", "s", "s_off", F.posexplode_outer("end_top").alias("end_rank", "e"),
+    # pushed down and builds the array a second time.
+    rows = (
+        top_positions(features, cfg.n_best_size)
+        .select("example_id", "window_no", "text_start", "window_text", F.explode_outer(spans).alias("p"))
+        .where(F.col("p").isNotNull())
+        .select("example_id", "window_no", "text_start", "window_text", "p.*")
     )
-    length = F.col("e.place") - F.col("s.place") + 1
-    e_off = F.get("offsets", F.col("e.place"))
-    spans = spans.where((length >= 1) & (length <= cfg.max_answer_length) & e_off.isNotNull())
-    start_char, end_char = F.col("s_off.start"), e_off["end"]
-    return spans.select(
-        "example_id", "window_no", "start_rank", "end_rank",
-        F.col("s.place").alias("start_place"), F.col("e.place").alias("end_place"),
-        start_char.alias("start_char"), end_char.alias("end_char"),
-        F.col("s.logit").alias("start_logit"), F.col("e.logit").alias("end_logit"),
-        (F.col("s.logit") + F.col("e.logit")).alias("score"),
+    return rows.select(
+        "example_id", "window_no", "start_rank", "end_rank", "start_place", "end_place",
+        "start_char", "end_char", "start_logit", "end_logit",
+        (F.col("start_logit") + F.col("end_logit")).alias("score"),
         F.substring(
-            "window_text", start_char - F.col("text_start") + 1, end_char - start_char
+            "window_text", F.col("start_char") - F.col("text_start") + 1,
+            F.col("end_char") - F.col("start_char"),
         ).alias("text"),
     )
 
@@ -119,7 +156,8 @@ def best_spans(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) -> DataF
     Equal scores keep the order in which windows and positions produce them.
     """
     order = [F.desc("score"), F.asc("window_no"), F.asc("start_rank"), F.asc("end_rank")]
-    return top_k(candidate_spans(features, cfg), "example_id", order, cfg.n_best_size)
+    spans = candidate_spans(features, cfg, most=cfg.n_best_size)
+    return top_k(spans, "example_id", order, cfg.n_best_size)
 
 
 def _prediction(text, start, end, score, is_null) -> Column:
