@@ -13,7 +13,7 @@ differing bits, and every such pair has one. That is exact, and its rows grow wi
 
 Defined results: a null text and a text without words have fingerprint zero, linked like any
 other; fewer words than a shingle give the whole sequence; repeated rows link to each other;
-a null id never names a component unless all ids in it are null; an empty table gives an empty
+a null id never names a component unless all ids in it are null, and such components stay apart; an empty table gives an empty
 table; other columns are kept by ``drop_near_duplicates`` and ignored otherwise.
 """
 
@@ -115,7 +115,7 @@ def _stars(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, row (a hash of the text), fp (signed) and component_id of every row."""
+    """doc_id, row (a hash of the text), fp (signed), component_id and root (never null) of every row."""
     prints = stored(docs.select("doc_id", F.xxhash64("text").alias("row"), fingerprint().alias("fp")), "simhash")
     once = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(once.select("fp")))
@@ -123,19 +123,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = named.join(ids, "root").select("fp", "component_id")
+    labels = named.join(ids, "root").select("fp", "component_id", "root")
     # Rows of one fingerprint may be many: they meet its label over salted keys.
     salted = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(1024)))
     keys = salted.select("fp", "salt").distinct().join(labels, "fp")
-    return salted.join(keys, ["fp", "salt"]).select("doc_id", "row", "fp", "component_id")
+    return salted.join(keys, ["fp", "salt"]).select("doc_id", "row", "fp", "component_id", "root")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component stays: that with the least id (of repeated rows, one)."""
     found = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    kept = found.groupBy("component_id", F.pmod(F.xxhash64("doc_id"), F.lit(1024)).alias("salt")).agg(first.alias("f"))
-    kept = kept.groupBy("component_id").agg(F.min("f").alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.row").alias("_row"))
+    kept = found.groupBy("root", F.pmod(F.xxhash64("doc_id", "row"), F.lit(1024)).alias("salt")).agg(first.alias("f"))
+    kept = kept.groupBy("root").agg(F.min("f").alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.row").alias("_row"))
     joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_row"]))
     return joined.dropDuplicates(["_id", "_row"]).select(*(docs[c] for c in docs.columns))
 

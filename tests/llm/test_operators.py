@@ -109,6 +109,14 @@ def test_simhash_components(spark, monkeypatch):
     assert simhash.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_components_without_ids_stay_apart(spark):
+    texts = [" ".join(R.choice("abcdefghij") for _ in range(150)) for _ in range(5)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (7, texts[1])]
+    kept = simhash.drop_near_duplicates(frame(spark, rows)).collect()
+    assert sorted(r.text for r in kept) == sorted(texts)
+    assert [r.text for r in kept if r.doc_id == 7] == [texts[1]]
+
+
 def test_components_of_a_path(spark):
     edges = spark.range(200).selectExpr("id AS u", "id + 1 AS v").union(spark.sql("SELECT 900L, 800L"))
     got = {r.node: r.root for r in components(edges).collect()}
