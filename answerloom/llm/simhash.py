@@ -35,19 +35,24 @@ HOT = 32
 _PART = 1 << 15
 
 
-def simhash(text: bytes, shingle: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of UTF-8 bytes."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles of UTF-8 bytes, in their order; none without words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     k = min(shingle, len(words))
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - k + 1]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist())), np.uint64, len(starts)
     )
+
+
+def simhash(text: bytes, shingle: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of UTF-8 bytes."""
+    hashes = shingle_hashes(text, shingle)
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _PART):
         bits = np.unpackbits(hashes[at : at + _PART].byteswap().view(np.uint8)).reshape(-1, 64)
@@ -114,11 +119,8 @@ def _stars(members: DataFrame) -> DataFrame:
     return found.select(F.col("fp").alias("u"), "v").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, row (a hash of the text), fp (signed), component_id and root (never null) of every row."""
-    prints = stored(docs.select("doc_id", F.xxhash64("text").alias("row"), fingerprint().alias("fp")), "simhash")
-    once = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(once.select("fp")))
+def labelled(prints: DataFrame, once: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (doc_id, row, fp) with component_id and root, from the least id by fp and the linked fps' roots."""
     named = once.join(roots, once["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -130,9 +132,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return salted.join(keys, ["fp", "salt"]).select("doc_id", "row", "fp", "component_id", "root")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each component stays: that with the least id (of repeated rows, one)."""
-    found = near_duplicates(docs)
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a hash of the text), fp (signed), component_id and root (never null) of every row."""
+    prints = stored(docs.select("doc_id", F.xxhash64("text").alias("row"), fingerprint().alias("fp")), "simhash")
+    once = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return labelled(prints, once, components(links(once.select("fp"))))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The row with the least id of each component (of repeated rows, one)."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     kept = found.groupBy("root", F.pmod(F.xxhash64("doc_id", "row"), F.lit(1024)).alias("salt")).agg(first.alias("f"))
     kept = kept.groupBy("root").agg(F.min("f").alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.row").alias("_row"))
@@ -140,6 +148,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.dropDuplicates(["_id", "_row"]).select(*(docs[c] for c in docs.columns))
 
 
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component stays: that with the least id (of repeated rows, one)."""
+    return keep_first(docs, near_duplicates(docs))
+
+
 def op5_simhash(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -9,7 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from answerloom.llm import decontaminate, exact_dedup, language, lm_score, mixing, pii, simhash
+from answerloom.llm import decontaminate, exact_dedup, language, lm_score, mixing, near_copies, pii, simhash
 from answerloom.llm import substring_dedup, suffix_sort, token_codes, toxicity
 from answerloom.llm.components import components
 from answerloom.llm.queries import ORACLES, QUERIES
@@ -117,6 +117,47 @@ def test_components_without_ids_stay_apart(spark):
     assert [r.text for r in kept if r.doc_id == 7] == [texts[1]]
 
 
+def near_sets(rows):
+    """Component ids by comparing the 5-word shingles of all pairs."""
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[label[i]] = min(least.get(label[i], 1 << 60), d)
+    return sorted((d, least[label[i]]) for i, (d, _) in enumerate(rows))
+
+
+def test_near_copies_of_the_stage(spark, monkeypatch):
+    import corpus_pipeline
+
+    r = random.Random(5)
+    rows = [(1, None), (2, ""), (2, ""), (3, "  \n"), (4, "one"), (5, "One two"), (6, "one  TWO")]
+    for group in range(6):
+        base = [f"w{r.randrange(4000)}" for _ in range(60 + 60 * group)]
+        for i in range(25):
+            words = base.copy()
+            for _ in range(r.randrange(1 + len(base) // 30)):
+                words[r.randrange(len(words))] = f"w{r.randrange(4000)}"
+            rows.append((1000 * group + 100 + i, " ".join(words[r.randrange(3) : len(words) - r.randrange(9)])))
+    want = near_sets(rows)
+    for hot, sample in ((64, 20_000), (1, 0)):
+        monkeypatch.setattr(near_copies, "HOT", hot)
+        monkeypatch.setattr(near_copies, "SAMPLE", sample)
+        got = near_copies.near_copies(frame(spark, rows))
+        assert sorted((x.doc_id, x.component_id) for x in got.collect()) == want
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), SF)
+    assert sorted(x.doc_id for x in kept.collect()) == sorted({c for _, c in want})
+    assert near_copies.near_copies(frame(spark, rows).limit(0)).count() == 0
+
+
 def test_components_of_a_path(spark):
     edges = spark.range(200).selectExpr("id AS u", "id + 1 AS v").union(spark.sql("SELECT 900L, 800L"))
     got = {r.node: r.root for r in components(edges).collect()}
