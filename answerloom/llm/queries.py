@@ -5,7 +5,9 @@ from . import (
     exact_dedup,
     language,
     lm_score,
+    merkle,
     mixing,
+    packing,
     pii,
     simhash,
     substring_dedup,
@@ -24,8 +26,11 @@ QUERIES = {
     "op8_token_codes": token_codes.op8_token_codes,
     "op9_pii": pii.op9_pii,
     "op10_language": language.op10_language,
+    "op11_merkle": merkle.op11_merkle,
+    "op13_pack": packing.op13_pack,
 }
 ORACLES = {
     "op4_mix": mixing.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op11_merkle": merkle.ORACLE,
 }
