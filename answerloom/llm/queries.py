@@ -1,6 +1,7 @@
 """The registered queries of the training-data operators and their oracle SQL."""
 
 from . import (
+    align,
     decontaminate,
     exact_dedup,
     language,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_pii": pii.op9_pii,
     "op10_language": language.op10_language,
     "op11_merkle": merkle.op11_merkle,
+    "op12_align": align.op12_align,
     "op13_pack": packing.op13_pack,
 }
 ORACLES = {
