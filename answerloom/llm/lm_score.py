@@ -6,7 +6,8 @@ known word, found by absolute discounting, is the mass of all unknown words toge
 
 Compiled, each counted n-gram is an arc from the state of its history, and each state has a
 failure arc, weighted by what backing off costs, to the state of the shorter history. A text is
-scored in one traversal from left to right that carries the state and adds the weights.
+scored in one traversal from left to right that carries the state and adds the weights; the texts
+of a chunk are traversed together, each arc and failure arc as one array operation.
 
 Counts cover all texts outside the held-out fold. They are summed by buckets of hashed n-grams
 and answered to chunks of documents; a chunk compiles the part of the automaton that its texts
@@ -20,19 +21,22 @@ apart by 64-bit hashes; an empty table gives an empty table; other columns are i
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Buckets, answer, answers_by_kind, chain, in_chunks, send, text_bytes
 from .common import fold, table, to_arrow
+from .words import split_words
 
 ORDER, MU = 2, 500.0
-#: Bytes of text of a chunk.
-CHUNK = 4 << 20
+#: Bytes of text of a chunk, and chunks for every bucket of the key space: a bucket's size is fixed.
+CHUNK, SHARE = 4 << 20, 8
 #: Marks that no word can equal, for the start and the end of a text.
 START, END = b" ", b"\n"
 
@@ -60,6 +64,17 @@ class Totals:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The words of all texts (bytes) as numbers, how many each text has, and the different words."""
+    codes, counts, words = split_words(pc.ascii_lower(texts.view(pa.string())))
+    words = words.view(pa.binary()).to_pylist()
+    if b"" in words:  # white space at either end of a text
+        real = codes != words.index(b"")
+        counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[real], minlength=len(counts))
+        codes = codes[real]
+    return codes, counts, words
+
+
 class Grams:
     """The different n-grams of some texts, as ids per order.
 
@@ -67,16 +82,19 @@ class Grams:
     are its history, its last word, the n-gram without its first word, its hash and its count.
     """
 
-    def __init__(self, texts: list[bytes], learn: np.ndarray, order: int):
-        number: dict[bytes, int] = {START: 0, END: 1}
-        rows = []
-        for text in texts:
-            rows.append([0, *(number.setdefault(w, len(number)) for w in text.lower().split()), 1])
-        lengths = np.array([len(r) for r in rows], np.int64)
-        words = np.array([w for r in rows for w in r], np.int64)
+    def __init__(self, texts: pa.Array, learn: np.ndarray, order: int):
+        codes, counts, known = words_of(texts)
+        lengths = counts + 2
         self.starts = np.cumsum(lengths) - lengths
         self.lengths = lengths
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in number], np.uint64)
+        words = np.ones(int(lengths.sum()), np.int64)
+        words[self.starts] = 0
+        self.inside = np.ones(len(words), bool)
+        self.inside[self.starts] = False
+        middle = self.inside.copy()
+        middle[self.starts + lengths - 1] = False
+        words[middle] = codes + 2
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in (START, END, *known)], np.uint64)
         weight = np.repeat(learn.astype(np.float64), lengths)
         self.ids, self.hash, self.count = [words], [hashes], [np.bincount(words, weight, len(hashes)).astype(np.uint64)]
         self.history, self.last, self.shorter = [None], [None], [None]
@@ -105,27 +123,45 @@ class BackoffAutomaton:
     """States are histories (order, id); arcs and failure arcs carry log10 weights."""
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], totals: Totals, mu: float):
-        self.vocabulary = len(counts[0])
-        self.root = np.log10(totals.probability(counts[0].astype(float))).tolist()
-        self.arcs: list[dict[int, int]] = []
-        self.weight: list[list[float]] = []
-        self.fail = [np.log10(mu / (c + mu)).tolist() for c in counts]
-        self.known = [(c > 0).tolist() for c in counts]
-        self.shorter = [s.tolist() if s is not None else None for s in grams.shorter]
+        self.grams, self.counts, self.vocabulary = grams, counts, len(counts[0])
         below = totals.probability(counts[0].astype(float))
+        self.root, self.weight = np.log10(below), []
+        self.fail = [np.log10(mu / (c + mu)) for c in counts]
         for n in range(1, len(counts)):
-            history, shorter = grams.history[n], grams.shorter[n]
-            p = (counts[n] + mu * below[shorter]) / (counts[n - 1][history] + mu)
-            seen = np.flatnonzero(counts[n] > 0)
-            code = history[seen] * self.vocabulary + grams.last[n][seen]
-            self.arcs.append(dict(zip(code.tolist(), seen.tolist())))
-            self.weight.append(np.log10(p).tolist())
-            below = p
+            below = (counts[n] + mu * below[grams.shorter[n]]) / (counts[n - 1][grams.history[n]] + mu)
+            self.weight.append(np.log10(below))
+
+    @cached_property
+    def arcs(self) -> list[dict[int, int]]:
+        """By order: (state, word) to the counted n-gram that the arc leads to."""
+        out = []
+        for n in range(1, len(self.counts)):
+            seen = np.flatnonzero(self.counts[n] > 0)
+            code = self.grams.history[n][seen] * self.vocabulary + self.grams.last[n][seen]
+            out.append(dict(zip(code.tolist(), seen.tolist())))
+        return out
+
+    def scores(self) -> np.ndarray:
+        """log10 probabilities of all texts, traversed together.
+
+        A position's state is its longest counted history. From each state the word's arc is taken
+        if there is one, else the failure arc, whose weight is added to what the shorter one gives.
+        """
+        ids = self.grams.ids
+        value = self.root[ids[0]]
+        for n in range(1, len(self.counts)):
+            at = np.flatnonzero(ids[n] >= 0)
+            state, arc = ids[n - 1][at - 1], ids[n][at]
+            is_state = self.counts[n - 1][state] > 0
+            step = np.where(self.counts[n][arc] > 0, self.weight[n - 1][arc], self.fail[n - 1][state] + value[at])
+            value[at] = np.where(is_state, step, value[at])
+        return np.add.reduceat(np.where(self.grams.inside, value, 0), self.grams.starts)
 
     def score(self, words: list[int]) -> float:
-        """log10 probability of a text, in one pass."""
+        """log10 probability of one text, arc by arc: what ``scores`` does for all at once."""
         total, size = 0.0, self.vocabulary
-        arcs, weight, fail, shorter, known = self.arcs, self.weight, self.fail, self.shorter, self.known
+        arcs, weight, fail, shorter = self.arcs, self.weight, self.fail, self.grams.shorter
+        known = [c > 0 for c in self.counts]
         top = len(arcs)
         level, state = min(1, top), 0  # after the start mark
         for word in words:
@@ -164,13 +200,10 @@ def count_totals(docs: DataFrame, learn, buckets: int, order: int = 1) -> Totals
 
     def words(batches):
         for batch in batches:
-            counts: dict[bytes, int] = {}
-            for text in batch.column(0).to_pylist():
-                for w in text.lower().split():
-                    counts[w] = counts.get(w, 0) + 1
-            counts[END] = batch.num_rows
-            hashes = np.array([xxhash.xxh64_intdigest(w) for w in counts], np.uint64)
-            values = np.array(list(counts.values()), np.uint64)
+            codes, _, known = words_of(batch.column(0))
+            values = np.append(np.bincount(codes, minlength=len(known)), batch.num_rows).astype(np.uint64)
+            hashes = np.array([xxhash.xxh64_intdigest(w) for w in (*known, END)], np.uint64)
+            hashes, values = hashes[values > 0], values[values > 0]
             parts = Buckets(hashes, buckets).parts
             columns = (
                 list(parts), [hashes[a].astype("<u8").tobytes() for a in parts.values()],
@@ -199,12 +232,13 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, chunk: int = CHUNK) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     count = 1 + text_bytes(docs) // chunk
-    totals = count_totals(docs, ~fold(1), count)
+    buckets = 1 + count // SHARE
+    totals = count_totals(docs, ~fold(1), buckets)
     chunked = in_chunks(docs, count, fold(1).alias("held_out"))
 
     def grams_of(table: pa.Table) -> Grams:
         held = np.array(table["held_out"].to_pylist(), bool)
-        return Grams(table["text"].to_pylist(), ~held, order)
+        return Grams(table["text"].combine_chunks(), ~held, order)
 
     def grams(table: pa.Table):
         found = grams_of(table)
@@ -222,21 +256,19 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, chunk: int =
         counts = []
         for n in range(order):
             hashes = found.hash[n]
-            counts.append(Buckets(hashes, count).gather(answers[n], len(hashes)).astype(np.int64) if len(hashes) else np.zeros(0, np.int64))
+            counts.append(Buckets(hashes, buckets).gather(answers[n], len(hashes)).astype(np.int64) if len(hashes) else np.zeros(0, np.int64))
         automaton = BackoffAutomaton(found, counts, totals, mu)
         base, known = totals.base(counts[0]), counts[0] > 0
         words = found.ids[0]
-        inside = np.ones(len(words), bool)
-        inside[found.starts] = False
-        sums = [np.add.reduceat(np.where(inside, v[words], 0), found.starts) for v in (base, known.astype(np.int64))]
+        sums = [np.add.reduceat(np.where(found.inside, v[words], 0), found.starts) for v in (base, known.astype(np.int64))]
         n = left.num_rows
         columns = (
             left["doc_id"], left["held_out"], found.lengths - 1, sums[1], [totals.tokens] * n, sums[0],
-            [automaton.score(found.text(i)) for i in range(n)],
+            automaton.scores(),
         )
         return pa.Table.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.ChunkedArray) else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    answered = answer(send(chunked, grams, count), summed)
+    answered = answer(send(chunked, grams, buckets), summed)
     return chunked.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(scored, SCORES)
 
 

@@ -15,10 +15,8 @@ ignored. A document is never split: one longer than a shard is a shard of its ow
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
-from array import array
 from itertools import chain
 
 import numpy as np
@@ -28,14 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from .common import give_back, map_rows, running_total, table, to_arrow, utf8
+from .common import give_back, map_rows, running_total, table, to_arrow
+from .words import blocks, encoder, tokenizer_path
 
 END = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Ids of a shard, if its documents allow.
 SHARD = 1 << 19
-#: Words and word pieces a worker remembers from batch to batch.
-REMEMBERED = 300_000
 _BLOCK = 512  # bits per entry of the rank directory
 
 
@@ -104,107 +101,6 @@ class Codes:
         return value
 
 
-# The tokenizer -----------------------------------------------------------------
-
-
-class _Numbered(dict):
-    """Numbers its keys in the order of first use."""
-
-    def __init__(self):
-        self.new = []
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        self.new.append(key)
-        return number
-
-    def forget(self, limit: int) -> None:
-        while len(self) > limit:
-            self.popitem()
-
-
-class WordEncoder:
-    """Encodes texts by the tokenizers library, each new word once.
-
-    The vocabulary's tokenizer never joins what white space parts, so a text's ids are those of
-    its words. Plain Latin words are cut further by the tokenizer's own pattern into runs of
-    letters, digits and signs, which repeat more. A bounded number of words is remembered.
-    """
-
-    #: Fixed value: the pattern by which the vocabulary's tokenizer cuts text.
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        import regex
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cut = regex.compile(self.PATTERN).findall
-        self.limit = remembered
-        self.words, self.pieces = _Numbered(), _Numbered()
-        self.piece_ids: list[list[int]] = []
-        self.flat, self.ends = array("I"), array("Q", [0])
-
-    def _pieces(self, word: str) -> list[str]:
-        if "<|" in word or max(word, default="") > "ɏ":
-            return [word]
-        return self.cut(word.lower())
-
-    def _learn(self) -> None:
-        parts = []
-        for word in self.words.new:
-            parts.append([self.pieces[p] for p in self._pieces(word.decode())])
-        if self.pieces.new:
-            found = self.tokenizer.encode_batch_fast(self.pieces.new, add_special_tokens=False)
-            self.piece_ids += [e.ids for e in found]
-        for numbers in parts:
-            for n in numbers:
-                self.flat.extend(self.piece_ids[n])
-            self.ends.append(len(self.flat))
-        self.words.new, self.pieces.new = [], []
-
-    def _forget(self) -> None:
-        self.words.forget(self.limit)
-        self.pieces.forget(self.limit)
-        del self.piece_ids[len(self.pieces) :]
-        del self.ends[len(self.words) + 1 :]
-        del self.flat[self.ends[-1] :]
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each closed by the end id, and where each text ends."""
-        number = self.words.__getitem__
-        rows = [np.fromiter(map(number, t.split()), np.int64) for t in texts]
-        self._learn()
-        ends, flat = np.frombuffer(self.ends, np.uint64).astype(np.int64), np.frombuffer(self.flat, np.uint32)
-        out, lengths = [], []
-        for row in rows:
-            first, count = ends[row], ends[row + 1] - ends[row]
-            n = int(count.sum())
-            place = np.arange(n) + np.repeat(first - np.cumsum(count) + count, count)
-            out += [flat[place], np.array([END], np.uint32)]
-            lengths.append(n + 1)
-        del ends, flat
-        self._forget()
-        return np.concatenate(out), np.cumsum(lengths)
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and vocabulary file; it outlives the task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 # The files ---------------------------------------------------------------------
 
 SHARDS = "part int, seq long, doc_ids array<long>, ends array<long>, n_tokens long, codes binary"
@@ -216,23 +112,24 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, shard:
     schema = to_arrow(SHARDS)
 
     def run(batches):
-        encoder = word_encoder(vocabulary or tokenizer_path())
+        encoded = encoder(vocabulary or tokenizer_path(TOKENIZER)).encode
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            at = 0
-            while at < len(ids):
-                size, to = 0, at
-                while to < len(ids) and (to == at or size + len(texts[to]) <= 2 * shard):
-                    size += len(texts[to])
-                    to += 1
-                tokens, ends = encoder.encode(texts[at:to])
-                row = ([part], [seq], [ids[at:to]], [ends.tolist()], [len(tokens)], [encode(tokens)])
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
-                at, seq = to, seq + 1
+            for first, n in blocks(batch.column(1)):
+                ids = batch.column(0).slice(first, n).to_pylist()
+                tokens, ends = encoded(batch.column(1).slice(first, n), END)
+                at = start = 0
+                while at < n:
+                    to = max(at + 1, int(np.searchsorted(ends, start + shard, side="right")))
+                    own = tokens[start : ends[to - 1]]
+                    row = ([part], [seq], [ids[at:to]], [(ends[at:to] - start).tolist()], [len(own)], [encode(own)])
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
+                    at, start, seq = to, int(ends[to - 1]), seq + 1
         give_back()
 
-    rows = docs.select("doc_id", utf8().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Rows of one id, as of null, may lie in several ranges.
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
     rows.mapInArrow(run, SHARDS).write.option("compression", "uncompressed").parquet(path)
 
 

@@ -28,7 +28,7 @@ _PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!\"#$%&()*+,\-./:;=?@\]^_`{|}~]*$"
 _TAIL = r"[!\"#$%&()*+,\-./:;=?@\]^_`{|}~]+$"
 
 
-def tokenizer_path(name: str) -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from answerloom.llm import decontaminate, exact_dedup, language, lm_score, mixing, near_copies, pii, simhash
 from answerloom.llm import substring_dedup, suffix_sort, token_codes, toxicity
@@ -237,6 +238,16 @@ def test_lm_scores(spark, order):
     assert lm_score.lm_scores(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_traversals_agree(order):
+    texts = [" ".join(R.choice("abcd") for _ in range(R.randint(0, 12))).encode() for _ in range(60)]
+    grams = lm_score.Grams(pa.array(texts), np.array([R.random() < 0.5 for _ in texts]), order)
+    totals = lm_score.Totals(200, 5, 2, 1)
+    automaton = lm_score.BackoffAutomaton(grams, [c.astype(np.int64) for c in grams.count], totals, 5.0)
+    steps = [automaton.score(grams.text(i)) for i in range(len(texts))]
+    assert np.allclose(automaton.scores(), steps)
+
+
 def test_lm_beats_base_on_held_out(spark):
     r = QUERIES["op3_lm_score"](spark, SF).filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r.s > r.b
