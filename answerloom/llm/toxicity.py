@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, map_rows, table, utf8
+from .common import fold, give_back, map_rows, table, utf8
 
 TOXIC, ORDINARY, LONGEST = 3000, 5000, 20_000
 #: Window and step in bytes; zstandard level and least match.
@@ -117,14 +117,20 @@ def _runs(word: bytes):
 
 
 def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> Counter:
-    inside, outside = Counter(), Counter()
-    for counts, texts in ((inside, toxic), (outside, ordinary)):
+    def counted(texts: list[bytes], among: set[bytes] | None = None) -> Counter:
+        found = Counter()
         for text in texts:
-            counts.update({r for w in set(text.split()) for r in _runs(b" " + w)})
+            runs = {r for w in set(text.split()) for r in _runs(b" " + w)}
+            found.update(runs if among is None else runs & among)
+        return found
+
+    # Only runs that enough toxic documents have are counted in the others.
     least = max(LEAST, SHARE * len(toxic))
+    inside = {r: n for r, n in counted(toxic).items() if n >= least}
+    outside = counted(ordinary, set(inside))
     bad = {
         r for r, n in inside.items()
-        if n >= least and n / len(toxic) > LIFT * (outside[r] + 1) / (len(ordinary) + 1 + LIFT)
+        if n / len(toxic) > LIFT * (outside[r] + 1) / (len(ordinary) + 1 + LIFT)
     }
     words = Counter(
         b" " + w.strip(b".,;:!?\"'()") + b" " for t in toxic for w in t.split() if any(r in bad for r in _runs(b" " + w))
@@ -167,7 +173,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
         found = docs.filter(F.length("text") <= LONGEST).join(F.broadcast(ids), "doc_id", "left_semi")
         found = found.select("doc_id", utf8().alias("text")).limit(bound).toPandas()
         texts.append(list(found.sort_values(["doc_id", "text"])["text"]))
-    return fit(*texts)
+    model = fit(*texts)
+    del texts, found
+    give_back()
+    return model
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:

@@ -94,6 +94,8 @@ def near(rows, bits=3):
 
 
 def test_simhash_components(spark, monkeypatch):
+    import corpus_pipeline
+
     base = " ".join(R.choice("abcdefghij") for _ in range(150))
     rows = [(1, None), (2, ""), (2, ""), (3, "  \n"), (4, "one"), (5, "One two")]
     for i in range(60):
@@ -105,7 +107,7 @@ def test_simhash_components(spark, monkeypatch):
         monkeypatch.setattr(simhash, "HOT", hot)
         got = simhash.near_duplicates(frame(spark, rows))
         assert sorted((r.doc_id, r.component_id) for r in got.collect()) == want
-    kept = simhash.drop_near_duplicates(frame(spark, rows))
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), SF)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in want})
     assert simhash.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
@@ -136,9 +138,7 @@ def near_sets(rows):
     return sorted((d, least[label[i]]) for i, (d, _) in enumerate(rows))
 
 
-def test_near_copies_of_the_stage(spark, monkeypatch):
-    import corpus_pipeline
-
+def test_near_copies_by_word_sets(spark, monkeypatch):
     r = random.Random(5)
     rows = [(1, None), (2, ""), (2, ""), (3, "  \n"), (4, "one"), (5, "One two"), (6, "one  TWO")]
     for group in range(6):
@@ -154,7 +154,7 @@ def test_near_copies_of_the_stage(spark, monkeypatch):
         monkeypatch.setattr(near_copies, "SAMPLE", sample)
         got = near_copies.near_copies(frame(spark, rows))
         assert sorted((x.doc_id, x.component_id) for x in got.collect()) == want
-    kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), SF)
+    kept = near_copies.drop_near_copies(frame(spark, rows))
     assert sorted(x.doc_id for x in kept.collect()) == sorted({c for _, c in want})
     assert near_copies.near_copies(frame(spark, rows).limit(0)).count() == 0
 
