@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from answerloom.llm.common import table
 from answerloom.llm.decontaminate import drop_contaminated
 from answerloom.llm.mixing import mixed_documents
-from answerloom.llm.near_copies import drop_near_copies
+from answerloom.llm.simhash import drop_near_duplicates
 from answerloom.llm.token_codes import token_files
 from answerloom.llm.toxicity import drop_toxic
 from answerloom.session import stored
@@ -21,8 +21,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return drop_near_copies(docs)
+    """One document of each group of near copies stays: fingerprints of 3-word shingles within 3 bits."""
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
