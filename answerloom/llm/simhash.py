@@ -95,10 +95,16 @@ def links(prints: DataFrame) -> DataFrame:
     flipped = probes.select("seg", "key", F.col("fp").alias("u")).join(cold, ["seg", "key"])
     pairs = equal.unionByName(flipped).filter(near).select("u", "v")
 
+    # Keys one bit below a hot key are found from the hot keys, which are few, not from all probes.
+    bits = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(31)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)),
+        lambda bit: F.col("key").bitwiseAND(bit) != 0,
+    )
+    below = hot_keys.select("seg", F.col("key").alias("hot"), F.explode(F.transform(bits, lambda b: F.col("key").bitwiseXOR(b))).alias("key"))
     members = entries.filter(F.col("n") > HOT).select("fp", "seg", "key", "rest", F.lit(2).alias("reach")).unionByName(
-        probes.join(hot_keys, ["seg", "key"], "left_semi").select("fp", "seg", "key", "rest", F.lit(1).alias("reach"))
+        entries.join(below, ["seg", "key"]).select("fp", "seg", F.col("hot").alias("key"), "rest", F.lit(1).alias("reach"))
     )
-    return pairs.unionByName(_stars(members))
+    return pairs.unionByName(_stars(stored(members, "hot-members")))
 
 
 def _stars(members: DataFrame) -> DataFrame:
