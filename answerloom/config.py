@@ -18,8 +18,13 @@ ENSEMBLE_MODELS = 3
 
 # A table is broadcast only after its size was measured to be below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows a single cell of a blocked vector search may hold on one side.
-CELL_ROWS = 50_000
+# Bytes of vectors a single cell of a blocked vector search may hold on one side.
+CELL_BYTES = 32 * 1024 * 1024
+# Bytes of pivots that group vectors for such a search.
+PIVOT_BYTES = 16 * 1024 * 1024
+# Heaviest terms a center of clustered TF-IDF keeps, and rounds of its training.
+CENTER_TERMS = 1000
+CENTER_ROUNDS = 5
 
 
 @dataclass(frozen=True)

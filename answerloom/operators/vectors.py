@@ -3,22 +3,31 @@
 Distances are computed in tasks on Arrow batches with numpy. A task keeps the
 best ``k`` rows per query and hands on nothing else, so no table of all pairs
 ever exists.
+
+Query sets too large to broadcast meet the vectors group by group. A group holds
+the vectors nearest to one pivot, with its radius. A query first searches the
+group of its nearest pivot; its k-th score there then rules out, by the triangle
+inequality, every group that cannot hold anything better. The result is exact.
+Lists of any number are found the same way: their centroids are grouped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import BROADCAST_BYTES, CELL_ROWS, NUM_CLUSTERS
+from ..config import BROADCAST_BYTES, CELL_BYTES, NUM_CLUSTERS, PIVOT_BYTES
+from ..session import stored
 from .ranking import top_k
 from .sizing import measured_bytes
 
@@ -31,6 +40,9 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+Decode = Callable[[pd.Series], np.ndarray]
+
+
 def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Queries x vectors; smaller is better for ``l2``, larger for ``ip``."""
     products = queries @ vectors.T
@@ -82,24 +94,39 @@ class _BestK:
         )
 
 
+def _best(hits: DataFrame, k: int, metric: str) -> DataFrame:
+    best_first = F.desc if metric == "ip" else F.asc
+    return top_k(hits, "qid", [best_first(F.round("score", 9)), F.asc("vec_id")], k)
+
+
+def _row_bytes(vec: str = "vec"):
+    return (F.size(vec) * 8 + 32).cast("long")
+
+
+def _cell_rows(probes: DataFrame, cell_rows: int | None) -> int:
+    """Rows of a cell's side: as many as given, or as fit ``CELL_BYTES``."""
+    if cell_rows is not None:
+        return cell_rows
+    widest = probes.agg(F.max(_row_bytes())).first()[0] or 1
+    return max(1, CELL_BYTES // widest)
+
+
 def _search(
-    vectors: DataFrame, probes: DataFrame, k: int, metric: str, limit: int, cell_rows: int
+    vectors: DataFrame, probes: DataFrame, k: int, limit: int, cell_rows: int | None, decode: Decode = _matrix
 ) -> DataFrame:
-    """Top-k of ``vectors(cluster, vec_id, vec)`` for ``probes(cluster, qid, vec)``.
+    """Nearest ``k`` of ``vectors(cluster, vec_id, vec)`` for ``probes(cluster, qid, vec)``.
 
     Probes measured to be small go to every task and the vectors stay where they
     are. Otherwise both sides are cut into cells of bounded size.
     """
-    row_bytes = (F.size("vec") * 8 + 32).cast("long")
-    if measured_bytes(probes, row_bytes) <= limit:
-        hits = _search_in_place(vectors, probes, k, metric)
-    else:
-        hits = _search_in_cells(vectors, probes, k, metric, cell_rows)
-    best_first = F.desc if metric == "ip" else F.asc
-    return top_k(hits, "qid", [best_first(F.round("score", 9)), F.asc("vec_id")], k)
+    if measured_bytes(probes, _row_bytes()) <= limit:
+        return _best(_search_in_place(vectors, probes, k, "l2", decode), k, "l2")
+    return _best(_search_in_cells(vectors, probes, k, "l2", _cell_rows(probes, cell_rows), decode), k, "l2")
 
 
-def _search_in_place(vectors: DataFrame, probes: DataFrame, k: int, metric: str) -> DataFrame:
+def _search_in_place(
+    vectors: DataFrame, probes: DataFrame, k: int, metric: str, decode: Decode = _matrix
+) -> DataFrame:
     sent = probes.select("cluster", "qid", "vec").toPandas()
     wanted = {
         cluster: (rows["qid"].to_numpy(), _matrix(rows["vec"]))
@@ -113,7 +140,7 @@ def _search_in_place(vectors: DataFrame, probes: DataFrame, k: int, metric: str)
             for cluster, rows in batch.groupby("cluster"):
                 if cluster in shared.value:
                     qids, queries = shared.value[cluster]
-                    best.add(qids, queries, rows["vec_id"].to_numpy(), _matrix(rows["vec"]))
+                    best.add(qids, queries, rows["vec_id"].to_numpy(), decode(rows["vec"]))
         yield best.rows()
 
     # Lists stored in folders by cluster are only read where probed.
@@ -124,7 +151,7 @@ def _search_in_place(vectors: DataFrame, probes: DataFrame, k: int, metric: str)
 
 
 def _search_in_cells(
-    vectors: DataFrame, probes: DataFrame, k: int, metric: str, cell_rows: int
+    vectors: DataFrame, probes: DataFrame, k: int, metric: str, cell_rows: int, decode: Decode = _matrix
 ) -> DataFrame:
     """Pair up slices of a cluster's vectors with slices of its queries.
 
@@ -158,7 +185,7 @@ def _search_in_cells(
         if len(vecs) and len(queries):
             best.add(
                 queries["q_qid"].to_numpy(), _matrix(queries["q_vec"]),
-                vecs["v_vec_id"].to_numpy(), _matrix(vecs["v_vec"]),
+                vecs["v_vec_id"].to_numpy(), decode(vecs["v_vec"]),
             )
         return best.rows()
 
@@ -166,13 +193,101 @@ def _search_in_cells(
     return left.cogroup(cells(probes, "qid", "q", "v")).applyInPandas(run, HIT_SCHEMA)
 
 
+@dataclass(frozen=True)
+class _Groups:
+    """``vectors(cluster, vec_id, vec)`` by nearest pivot; pivots, and each one's radius (-1: no vector)."""
+
+    vectors: DataFrame
+    shared: Broadcast
+
+
+def _group(vectors: DataFrame) -> _Groups:
+    """Group vectors around pivots: as many as the root of their number, at most ``PIVOT_BYTES``.
+
+    Pivots are vectors in the order of a hash.
+    """
+    spark = vectors.sparkSession
+    count, width = vectors.agg(F.count("*"), F.max(F.size("vec"))).first()
+    n = min(math.isqrt(max(count - 1, 0)) + 1, max(1, PIVOT_BYTES // (8 * (width or 1))))
+    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).toPandas()
+    pivots = _matrix(chosen["vec"]) if len(chosen) else np.zeros((0, width or 0))
+    sent = spark.sparkContext.broadcast(pivots)
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                squares = _scores(_matrix(batch["vec"]), sent.value, "l2")
+                yield batch.assign(cluster=squares.argmin(axis=0), far=np.sqrt(squares.min(axis=0)))
+
+    kind = vectors.select("vec_id", "vec", F.lit(0).alias("cluster"), F.lit(0.0).alias("far")).schema
+    grouped = stored(vectors.select("vec_id", "vec").mapInPandas(near, kind), "groups")
+    radius = np.full(len(pivots), -1.0)
+    # One row per pivot.
+    for row in grouped.groupBy("cluster").agg(F.max("far").alias("far")).collect():
+        radius[row["cluster"]] = row["far"]
+    return _Groups(grouped.select("cluster", "vec_id", "vec"), spark.sparkContext.broadcast((pivots, radius)))
+
+
+def _reach(groups: _Groups, queries: DataFrame, metric: str, first: bool) -> DataFrame:
+    """Probes ``(cluster, qid, vec)``: of each query's first group, or of all others it must search.
+
+    The others need ``worst``, the k-th score so far (null: fewer than k).
+    """
+    shared = groups.shared
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pivots, radius = shared.value
+        there = radius >= 0
+        for batch in batches:
+            if not len(batch) or not there.any():
+                continue
+            queries = _matrix(batch["vec"])
+            scores = _scores(pivots, queries, metric)
+            nearest = np.where(there, scores if metric == "l2" else -scores, np.inf).argmin(axis=1)
+            if first:
+                yield pd.DataFrame({"cluster": nearest, "qid": batch["qid"], "vec": batch["vec"]})
+                continue
+            worst = batch["worst"].to_numpy(dtype=np.float64)[:, None]
+            slack = 1e-6 * (1 + np.abs(worst))
+            if metric == "l2":
+                # No vector of a group is nearer than the pivot less the radius.
+                least = np.maximum(np.sqrt(scores) - radius, 0) ** 2
+                may = ~(least > worst + slack)
+            else:
+                # A product exceeds the pivot's by the query's length times the radius at most.
+                most = scores + np.linalg.norm(queries, axis=1)[:, None] * radius
+                may = ~(most < worst - slack)
+            may &= there
+            may[np.arange(len(nearest)), nearest] = False
+            rows, cluster = np.nonzero(may)
+            picked = batch.iloc[rows]
+            yield pd.DataFrame({"cluster": cluster, "qid": picked["qid"].to_numpy(), "vec": picked["vec"].to_numpy()})
+
+    kind = queries.select(F.lit(0).alias("cluster"), "qid", "vec").schema
+    return queries.mapInPandas(run, kind)
+
+
+def _search_by_pivots(
+    vectors: DataFrame, queries: DataFrame, k: int, metric: str, cell_rows: int | None
+) -> DataFrame:
+    """Exact nearest ``k`` of ``vectors(vec_id, vec)`` for many ``queries(qid, vec)``."""
+    rows = _cell_rows(queries, cell_rows)
+    groups = _group(vectors)
+    near = _search_in_cells(groups.vectors, _reach(groups, queries, metric, True), k, metric, rows)
+    near = stored(_best(near, k, metric), "near")
+    worst = near.where(F.col("rank") == k).select("qid", F.col("score").alias("worst"))
+    others = stored(_reach(groups, queries.join(worst, "qid", "left"), metric, False), "probes")
+    far = _search_in_cells(groups.vectors, others, k, metric, rows)
+    return _best(near.drop("rank").unionByName(far), k, metric)
+
+
 def vector_topk(
     vectors: DataFrame,
     queries: DataFrame,
     k: int,
     metric: str = "l2",
     limit: int = BROADCAST_BYTES,
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Nearest ``k`` of ``vectors(vec_id, vec)`` for every row of ``queries(qid, vec)``.
 
@@ -180,30 +295,45 @@ def vector_topk(
     """
     if metric not in ("l2", "ip"):
         raise ValueError(f"unknown metric {metric!r}")
+    vectors, queries = vectors.select("vec_id", "vec"), queries.select("qid", "vec")
+    if measured_bytes(queries, _row_bytes()) > limit:
+        return _search_by_pivots(vectors, queries, k, metric, cell_rows)
     everywhere = F.lit(0).alias("cluster")
-    return _search(
-        vectors.select(everywhere, "vec_id", "vec"),
-        queries.select(everywhere, "qid", "vec"),
-        k, metric, limit, cell_rows,
-    )
+    hits = _search_in_place(vectors.select(everywhere, "*"), queries.select(everywhere, "*"), k, metric)
+    return _best(hits, k, metric)
 
 
 @dataclass(frozen=True)
 class IvfIndex:
-    """``centroids(cluster, center)`` and ``vectors(vec_id, vec, cluster)``."""
+    """``centroids(cluster, center)`` and ``vectors(vec_id, vec, cluster)``.
+
+    A quantized index also has ``codes(vec_id, cluster, codes)``, ``bits`` per dimension packed into
+    bytes, and their ``bounds``: a list of 4-bit codes takes a sixteenth of its doubles.
+    """
 
     centroids: DataFrame
     vectors: DataFrame
+    codes: DataFrame | None = None
+    bounds: DataFrame | None = None
+    bits: int | None = None
 
 
-def nearest_clusters(df: DataFrame, centroids: DataFrame, n: int, vec: str = "vec") -> DataFrame:
-    """Add ``clusters``, the ``n`` nearest centroids, nearest first; ties by number.
+def nearest_clusters(
+    df: DataFrame, centroids: DataFrame, n: int, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add ``clusters``, the ``n`` nearest centroids of ``df(key, vec)``, nearest first; ties by number.
 
-    The centroids travel to the tasks; their size is measured first.
+    Centroids measured to be small travel to the tasks. More of them are grouped around pivots
+    among them, and every vector searches only the groups that may hold its nearest.
     """
     size = measured_bytes(centroids, (F.size("center") * 8).cast("long"))
-    if size > BROADCAST_BYTES:
-        raise ValueError(f"{size} bytes of centroids are too many to send to every task")
+    if size > limit:
+        (key,) = [c for c in df.columns if c != "vec"]
+        lists = centroids.select(F.col("cluster").cast("long").alias("vec_id"), F.col("center").alias("vec"))
+        wide = df.select(F.col(key).alias("qid"), F.col("vec").cast("array<double>").alias("vec"))
+        found = _search_by_pivots(lists, wide, n, "l2", None)
+        ranked = F.sort_array(F.collect_list(F.struct("rank", F.col("vec_id").cast("int").alias("c"))))
+        return df.join(found.groupBy(F.col("qid").alias(key)).agg(ranked.alias("r")), key).select(*df.columns, F.col("r.c").alias("clusters"))
     table = centroids.orderBy("cluster").toPandas()
     numbers = table["cluster"].to_numpy(dtype=np.int32)
     shared = df.sparkSession.sparkContext.broadcast(_matrix(table["center"]))
@@ -217,7 +347,7 @@ def nearest_clusters(df: DataFrame, centroids: DataFrame, n: int, vec: str = "ve
             yield pd.Series(list(numbers[np.argsort(keys, axis=1, kind="stable")[:, :n]]))
 
     nearest.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return df.withColumn("clusters", F.pandas_udf(nearest, "array<int>")(F.col(vec)))
+    return df.withColumn("clusters", F.pandas_udf(nearest, "array<int>")(F.col("vec")))
 
 
 def train_centroids(
@@ -236,9 +366,9 @@ def train_centroids(
     return vectors.sparkSession.createDataFrame(rows, schema)
 
 
-def assign_clusters(vectors: DataFrame, centroids: DataFrame) -> IvfIndex:
+def assign_clusters(vectors: DataFrame, centroids: DataFrame, limit: int = BROADCAST_BYTES) -> IvfIndex:
     """Put every vector into the list of its nearest centroid."""
-    listed = nearest_clusters(vectors.select("vec_id", "vec"), centroids, 1)
+    listed = nearest_clusters(vectors.select("vec_id", "vec"), centroids, 1, limit)
     return IvfIndex(
         centroids, listed.withColumn("cluster", F.get("clusters", F.lit(0))).drop("clusters")
     )
@@ -253,15 +383,43 @@ def build_ivf(
 ) -> IvfIndex:
     """Train centroids on ``vectors(vec_id, vec)`` and assign every vector.
 
-    With ``bits`` the lists hold the values of quantized codes, so searches
-    return distances to those instead of the exact vectors.
+    With ``bits`` (4 or 8) lists of packed codes are searched and only the best re-ranked exactly.
     """
     index = assign_clusters(vectors, train_centroids(vectors, n_clusters, seed, iterations))
-    if bits is None:
-        return index
-    bounds = dimension_bounds(vectors)
-    coded = dequantize(quantize(index.vectors, bits, bounds), bounds, bits)
-    return IvfIndex(index.centroids, coded.select("vec_id", "vec", "cluster"))
+    return index if bits is None else with_codes(index, bits)
+
+
+def with_codes(index: IvfIndex, bits: int = 4) -> IvfIndex:
+    """The index with lists of packed codes beside its vectors."""
+    bounds = dimension_bounds(index.vectors)
+    return replace(index, codes=pack_codes(quantize(index.vectors, bits, bounds), bits), bounds=bounds, bits=bits)
+
+
+def pack_codes(coded: DataFrame, bits: int = 4) -> DataFrame:
+    """``codes(vec_id, cluster, codes)`` with each row's codes packed, first dimension first."""
+    if bits not in (4, 8):
+        raise ValueError("codes of 4 or 8 bits are packed")
+    digits = F.transform("codes", lambda c: F.lpad(F.hex(c), bits // 4, "0"))
+    text = F.array_join(digits, "")
+    text = F.concat(text, F.repeat(F.lit("0"), F.length(text) % 2))
+    return coded.select("vec_id", "cluster", F.unhex(text).alias("codes"))
+
+
+def _decoder(bounds: DataFrame, bits: int) -> Decode:
+    """A function from packed codes to the values that they stand for."""
+    # One row per dimension.
+    rows = bounds.orderBy("dim").toPandas()
+    lo, hi = rows["lo"].to_numpy(), rows["hi"].to_numpy()
+    steps = np.arange(2**bits) / (2**bits - 1)
+    values = lo[:, None] + steps[None, :] * (hi - lo)[:, None]  # by dimension and code
+
+    def decode(column: pd.Series) -> np.ndarray:
+        raw = np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+        if bits == 4:
+            raw = np.stack([raw >> 4, raw & 15], axis=2).reshape(len(column), -1)
+        return values[np.arange(len(lo)), raw[:, : len(lo)]]
+
+    return decode
 
 
 def ivf_topk(
@@ -270,16 +428,27 @@ def ivf_topk(
     k: int,
     nprobe: int = 1,
     limit: int = BROADCAST_BYTES,
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int | None = None,
+    refine: int = 4,
 ) -> DataFrame:
     """Nearest ``k`` vectors among the ``nprobe`` lists nearest to each query.
 
-    Queries whose lists hold fewer than ``k`` vectors get fewer rows.
+    Queries whose lists hold fewer than ``k`` vectors get fewer rows. On a quantized index the
+    lists' codes give the ``refine * k`` nearest, whose exact vectors are then read and ranked.
     """
-    probes = nearest_clusters(queries.select("qid", "vec"), index.centroids, nprobe).select(
+    queries = queries.select("qid", "vec")
+    probes = nearest_clusters(queries, index.centroids, nprobe, limit).select(
         F.explode("clusters").alias("cluster"), "qid", "vec"
     )
-    return _search(index.vectors, probes, k, "l2", limit, cell_rows)
+    if index.codes is None:
+        return _search(index.vectors, probes, k, limit, cell_rows)
+    lists = index.codes.withColumnRenamed("codes", "vec")
+    near = _search(lists, probes, refine * k, limit, cell_rows, _decoder(index.bounds, index.bits))
+    exact = index.vectors.select("vec_id", F.col("vec").cast("array<double>").alias("v"))
+    pairs = near.select("qid", "vec_id").join(exact, "vec_id").join(
+        queries.select("qid", F.col("vec").cast("array<double>").alias("q")), "qid")
+    square = F.aggregate(F.zip_with("q", "v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+    return _best(pairs.select("qid", "vec_id", square.alias("score")), k, "l2")
 
 
 def dimension_bounds(vectors: DataFrame) -> DataFrame:

@@ -75,6 +75,56 @@ def test_lists(vectors, queries, data, limit, cell_rows):
     assert collected(one) == brute(data, qids, 5, "l2", allowed)
 
 
+@pytest.mark.parametrize("n", [1, 3])
+def test_any_number_of_lists(spark, vectors, data, n):
+    """Above the limit, here 0, centroids are grouped; the nearest stay those of a full comparison."""
+    centroids = vectors.where("vec_id < 120").select(F.col("vec_id").cast("int").alias("cluster"), F.col("vec").cast("array<double>").alias("center"))
+    for limit in (0, 10**9):
+        got = V.nearest_clusters(vectors.select("vec_id", "vec"), centroids, n, limit).collect()
+        assert len(got) == 300
+        for r in got:
+            keys = np.round(((data[:120].astype(np.float64) - data[r["vec_id"]].astype(np.float64)) ** 2).sum(axis=1), 9)
+            assert list(r["clusters"]) == np.lexsort((np.arange(120), keys))[:n].tolist()
+
+
+def test_pivots_rule_groups_out(spark):
+    """On clustered data, a query searches far fewer groups than there are; hot vectors stay whole."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * 0.01 + (i % 20) * 10]) for i in range(400)]
+    rows += [(1000 + i, [0.0, 0.0, 0.0, 0.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<double>")
+    queries = df.select(F.col("vec_id").alias("qid"), "vec")
+    groups = V._group(df)
+    probes = V._reach(groups, queries.withColumn("worst", F.lit(0.01)), "l2", False).count()
+    assert probes < 0.2 * 600 * len(groups.shared.value[0])
+    got = V.vector_topk(df, queries, 5, limit=0, cell_rows=50)
+    want = V.vector_topk(df, queries, 5)
+    assert collected(got) == collected(want)
+
+
+def test_no_vectors(spark, vectors, queries):
+    assert V.vector_topk(vectors.limit(0), queries, 3, limit=0).count() == 0
+    assert V.vector_topk(vectors, queries.limit(0), 3, limit=-1).count() == 0
+
+
+@pytest.mark.parametrize("bits,dims", [(4, 8), (8, 8), (4, 7)])
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_search_on_packed_codes(spark, data, bits, dims, limit):
+    rows = [(i, [float(x) for x in v[:dims]]) for i, v in enumerate(data)]
+    vectors = spark.createDataFrame(rows, "vec_id long, vec array<float>")
+    index = V.with_codes(V.assign_clusters(vectors, vectors.where("vec_id < 4").select(F.col("vec_id").cast("int").alias("cluster"), F.col("vec").alias("center"))), bits)
+    assert {len(r.codes) for r in index.codes.collect()} == {-(-dims * bits // 8)}
+    decode = V._decoder(index.bounds, bits)
+    back = {r.vec_id: r.vec for r in V.dequantize(V.quantize(vectors, bits, index.bounds), index.bounds, bits).collect()}
+    packed = index.codes.toPandas()
+    assert np.allclose(decode(packed["codes"]), [back[i] for i in packed["vec_id"]])
+    queries = vectors.where("vec_id % 29 = 10").select(F.col("vec_id").alias("qid"), "vec")
+    qids = [r["qid"] for r in queries.collect()]
+    # Every vector is re-ranked, so the result is exact.
+    got = V.ivf_topk(index, queries, 5, nprobe=4, limit=limit, refine=60)
+    assert collected(got) == brute(data[:, :dims], qids, 5, "l2")
+
+
 def test_short_lists_give_fewer_rows(spark, vectors):
     few = vectors.where("vec_id < 3")
     index = V.build_ivf(few, n_clusters=3, seed=1)
