@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ReaderConfig
@@ -237,3 +237,10 @@ def label_means(vectors: DataFrame) -> DataFrame:
     return per_dim.groupBy(F.col("label").cast("int").alias("cluster")).agg(
         F.transform(ordered, lambda e: e["x"]).alias("center")
     )
+
+
+def passage_centers(postings: DataFrame, n: int) -> DataFrame:
+    """The ``n`` passages with the least ids as sparse centers, ``(cluster, term, weight)``."""
+    chosen = postings.select("pid").distinct().orderBy("pid").limit(n)
+    numbered = chosen.select("pid", (F.row_number().over(Window.orderBy("pid")) - 1).alias("cluster"))
+    return postings.join(F.broadcast(numbered), "pid").select("cluster", "term", "weight")

@@ -371,6 +371,70 @@ SELECT qid, vec_id, round(score, 6) AS score,
 FROM s QUALIFY rank <= 10"""
 
 
+IVF_CODES = f"""{LISTS},
+probes AS (
+  SELECT qid, vec, cluster FROM queries, centers
+  QUALIFY row_number() OVER (
+    PARTITION BY qid ORDER BY round({_sq("vec", "center")}, 9), cluster) <= 2
+),
+values_ AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding)))::INT AS dim FROM embeddings
+),
+b AS (SELECT dim, min(x) AS lo, max(x) AS hi FROM values_ GROUP BY dim),
+coded AS (
+  SELECT vec_id, list(lo + round((x - lo) / (hi - lo) * 15) / 15 * (hi - lo) ORDER BY dim) AS near
+  FROM values_ JOIN b USING (dim) GROUP BY vec_id
+),
+best AS (
+  SELECT qid, vec, vec_id, embedding FROM probes JOIN lists USING (cluster) JOIN coded USING (vec_id)
+  QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round({_sq("vec", "near")}, 9), vec_id) <= 40
+),
+s AS (SELECT qid, vec_id, {_sq("vec", "embedding")} AS score FROM best)
+SELECT qid, vec_id, round(score, 6) AS score,
+  row_number() OVER (PARTITION BY qid ORDER BY round(score, 9), vec_id) AS rank
+FROM s QUALIFY rank <= 10"""
+
+IVF_CONTEXTS = f"""WITH {INDEX},{QUESTIONS},{QVEC},
+center_ids AS (
+  SELECT pid, row_number() OVER (ORDER BY pid) - 1 AS cluster FROM (SELECT DISTINCT pid FROM weights)
+  QUALIFY cluster < 8
+),
+centers AS (SELECT cluster, term, weight FROM weights JOIN center_ids USING (pid)),
+near AS (
+  SELECT pid, cluster FROM (
+    SELECT w.pid, c.cluster, sum(w.weight * c.weight) AS dot FROM weights w JOIN centers c USING (term)
+    GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY pid ORDER BY round(dot, 9) DESC, cluster) = 1
+),
+lists AS (SELECT pid, text, coalesce(cluster, 0) AS cluster FROM passages LEFT JOIN near USING (pid)),
+asked AS (SELECT DISTINCT id FROM qvec),
+qdots AS (
+  SELECT q.id, c.cluster, sum(q.weight * c.weight) AS dot FROM qvec q JOIN centers c USING (term) GROUP BY ALL
+),
+probes AS (
+  SELECT a.id, n.cluster FROM asked a CROSS JOIN (SELECT unnest(range(8)) AS cluster) n
+  LEFT JOIN qdots d ON d.id = a.id AND d.cluster = n.cluster
+  QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY round(coalesce(dot, -1), 9) DESC, n.cluster) <= 2
+),
+scores AS (
+  SELECT q.id, w.pid, sum(q.weight * w.weight) AS score FROM weights w JOIN qvec q USING (term) GROUP BY ALL
+),
+far AS (
+  SELECT p.id, l.pid, l.text, 2 - 2 * coalesce(s.score, 0) AS d
+  FROM probes p JOIN lists l USING (cluster) LEFT JOIN scores s ON s.id = p.id AND s.pid = l.pid
+),
+nearest AS (
+  SELECT id, pid, text, row_number() OVER (PARTITION BY id ORDER BY round(d, 9), pid) AS rank
+  FROM far QUALIFY rank <= 10
+),
+ctx AS (
+  SELECT id, string_agg(pid::VARCHAR, ',' ORDER BY rank) AS context_ids,
+    string_agg(text, ' ' ORDER BY rank) AS context FROM nearest GROUP BY id
+)
+SELECT q.id, coalesce(context_ids, '') AS context_ids, coalesce(context, '') AS context
+FROM questions q LEFT JOIN ctx USING (id)"""
+
+
 def _clean(text: str) -> str:
     for pattern, replacement in CLEAN_RULES:
         text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
@@ -484,7 +548,15 @@ ORACLES: dict[str, str] = {
     "vector_topk_ip": _neighbours(
         "list_dot_product(vec::DOUBLE[], embedding::DOUBLE[])", "DESC"
     ),
+    "vector_topk_pivots": _neighbours(_sq("vec", "embedding"), "ASC"),
+    "vector_topk_ip_pivots": _neighbours(
+        "list_dot_product(vec::DOUBLE[], embedding::DOUBLE[])", "DESC"
+    ),
     "ivf_topk": IVF,
+    "ivf_codes_topk": IVF_CODES,
+    "ivf_assign": f"{LISTS} SELECT vec_id, cluster::INT AS cluster FROM lists",
+    "ivf_retrieve": IVF_CONTEXTS,
+    "ivf_tfidf_roundtrip": IVF_CONTEXTS,
     "ivf_assign_means": f"{LISTS} SELECT vec_id, cluster::INT AS cluster FROM lists",
     "ivf_retrieve_all": f"""WITH {INDEX},{QUESTIONS},{QVEC},{SCORES},
         far AS (

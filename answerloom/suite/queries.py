@@ -259,35 +259,81 @@ def vector_topk_ip(spark, sf):
     return _rounded(V.vector_topk(vecs, X.every_vector(vecs), TOP, "ip"), "score")
 
 
-def ivf_assign(spark, sf):
+def ivf_trained(spark, sf):
     index = V.build_ivf(X.vectors(spark, sf), seed=42)
     return index.vectors.select("vec_id", "cluster")
 
 
+def ivf_assign(spark, sf):
+    """Given centroids, grouped around pivots as if they were too many to broadcast."""
+    vecs = X.vectors(spark, sf)
+    return V.assign_clusters(vecs, X.label_means(vecs), limit=0).vectors.select("vec_id", "cluster")
+
+
 def ivf_topk(spark, sf):
     vecs = X.vectors(spark, sf)
     index = V.assign_clusters(vecs, X.label_means(vecs))
     return _rounded(V.ivf_topk(index, X.every_vector(vecs), TOP, nprobe=2), "score")
 
 
-def ivf_retrieve(spark, sf):
-    passages, asked = X.passages(spark, sf), X.questions(spark, sf)
-    ivf = build_tfidf_ivf(S.fit_tfidf(passages, TFIDF), passages)
-    return P.retrieve_clustered(ivf, passages, asked).select(
+def ivf_codes_topk(spark, sf):
+    """Lists of packed 4-bit codes, written and read back; the best 40 are ranked exactly."""
+    vecs = X.vectors(spark, sf)
+    path = new_path(spark, "ivf-codes")
+    SI.save_ivf(V.with_codes(V.assign_clusters(vecs, X.label_means(vecs)), 4), path)
+    index = SI.load_ivf(spark, path, coded=True)
+    return _rounded(V.ivf_topk(index, X.every_vector(vecs), TOP, nprobe=2, refine=4), "score")
+
+
+def vector_topk_pivots(spark, sf):
+    """Exact neighbours of every vector by groups around pivots."""
+    vecs = X.vectors(spark, sf)
+    return _rounded(V.vector_topk(vecs, X.every_vector(vecs), TOP, "l2", limit=0), "score")
+
+
+def vector_topk_ip_pivots(spark, sf):
+    vecs = X.vectors(spark, sf)
+    return _rounded(V.vector_topk(vecs, X.every_vector(vecs), TOP, "ip", limit=0), "score")
+
+
+def _contexts(found: DataFrame) -> DataFrame:
+    return found.select(
         "id", F.array_join(F.col("context_ids").cast("array<string>"), ",").alias("context_ids"),
         "context",
     )
 
 
+def _given_lists(spark, sf):
+    passages = X.passages(spark, sf)
+    index = S.fit_tfidf(passages, TFIDF)
+    return passages, build_tfidf_ivf(index, passages, 8, centers=X.passage_centers(index.postings, 8))
+
+
+def ivf_retrieve(spark, sf):
+    """Two lists probed of those around eight passages."""
+    passages, ivf = _given_lists(spark, sf)
+    return _contexts(P.retrieve_clustered(ivf, passages, X.questions(spark, sf), nprobe=2))
+
+
+def ivf_tfidf_roundtrip(spark, sf):
+    passages, ivf = _given_lists(spark, sf)
+    path = new_path(spark, "tfidf-ivf")
+    SI.save_tfidf_ivf(ivf, path)
+    loaded = SI.load_tfidf_ivf(spark, path, TFIDF, 8)
+    return _contexts(P.retrieve_clustered(loaded, passages, X.questions(spark, sf), nprobe=2))
+
+
+def ivf_retrieve_trained(spark, sf):
+    passages, asked = X.passages(spark, sf), X.questions(spark, sf)
+    ivf = build_tfidf_ivf(S.fit_tfidf(passages, TFIDF), passages)
+    return _contexts(P.retrieve_clustered(ivf, passages, asked))
+
+
 def ivf_retrieve_all(spark, sf):
     """Every list probed, so the result is that of an exhaustive search."""
     passages, asked = X.passages(spark, sf), X.questions(spark, sf)
     ivf = build_tfidf_ivf(S.fit_tfidf(passages, TFIDF), passages)
-    found = P.retrieve_clustered(ivf, passages, asked, nprobe=len(ivf.centers))
-    return found.select(
-        "id", F.array_join(F.col("context_ids").cast("array<string>"), ",").alias("context_ids"),
-        "context",
-    )
+    return _contexts(P.retrieve_clustered(ivf, passages, asked, nprobe=ivf.n_clusters))
 
 
 def ivf_assign_means(spark, sf):
@@ -544,6 +590,12 @@ QUERIES: dict[str, Query] = {
     "ivf_topk": ivf_topk,
     "ivf_retrieve": ivf_retrieve,
     "ivf_retrieve_all": ivf_retrieve_all,
+    "ivf_trained": ivf_trained,
+    "ivf_codes_topk": ivf_codes_topk,
+    "ivf_tfidf_roundtrip": ivf_tfidf_roundtrip,
+    "ivf_retrieve_trained": ivf_retrieve_trained,
+    "vector_topk_pivots": vector_topk_pivots,
+    "vector_topk_ip_pivots": vector_topk_ip_pivots,
     "ivf_assign_means": ivf_assign_means,
     "quantize_sq": quantize_sq,
     "windows": windows,

@@ -20,7 +20,7 @@ def test_query(spark, con, name):
 
 
 def test_only_trained_clusters_lack_an_oracle():
-    assert set(QUERIES) - set(oracle_sql()) == {"ivf_assign", "ivf_retrieve"}
+    assert set(QUERIES) - set(oracle_sql()) == {"ivf_trained", "ivf_retrieve_trained"}
 
 
 def test_entry(spark):

@@ -225,6 +225,56 @@ def test_clustered_search_over_all_lists_equals_exhaustive(passages, queries):
     assert all(len(c) == 1 for c in by_query.values())
 
 
+@pytest.mark.parametrize("limit,terms", [(10**9, 1000), (0, 1000), (0, 3)])
+def test_center_training_equals_dense_rounds(spark, limit, terms):
+    import random
+
+    from answerloom.operators import tfidf_ivf as K
+
+    r = random.Random(2)
+    texts = [" ".join(r.choice("abcdefghijklm") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    vectors = {}
+    for pid, text in enumerate(texts):
+        counts = {t: text.split().count(t) for t in text.split()}
+        norm = math.sqrt(sum(n * n for n in counts.values()))
+        vectors[pid] = {t: n / norm for t, n in counts.items()}
+    rows = [(t, pid, w) for pid, v in vectors.items() for t, w in v.items()]
+    postings = spark.createDataFrame(rows, "term string, pid long, weight double")
+    first = K.first_centers(postings, 4).collect()
+    centers = {}
+    for c in first:
+        centers.setdefault(c["cluster"], {})[c["term"]] = c["weight"]
+    assert sorted(centers) == [0, 1, 2, 3] and all(v in vectors.values() for v in centers.values())
+    for _ in range(3):
+        sums = {}
+        for v in vectors.values():
+            dots = [(-round(sum(w * centers[c].get(t, 0) for t, w in v.items()), 9), c) for c in centers]
+            dots = [d for d in dots if d[0] < 0]
+            if dots:
+                into = sums.setdefault(min(dots)[1], {})
+                for t, w in v.items():
+                    into[t] = into.get(t, 0) + w
+        for c, v in sums.items():
+            kept = dict(sorted(v.items(), key=lambda x: (-round(x[1], 9), x[0]))[:terms])
+            norm = math.sqrt(sum(w * w for w in kept.values()))
+            centers[c] = {t: w / norm for t, w in kept.items()}
+    got = {}
+    for c in K.train_centers(postings, 4, 42, 3, terms, limit).collect():
+        got.setdefault(c["cluster"], {})[c["term"]] = c["weight"]
+    assert {c: sorted(v) for c, v in got.items()} == {c: sorted(v) for c, v in centers.items()}
+    assert all(abs(got[c][t] - w) < 1e-9 for c, v in centers.items() for t, w in v.items())
+
+
+def test_lists_without_a_common_term_follow_by_number(spark):
+    from answerloom.operators import tfidf_ivf as K
+
+    centers = spark.createDataFrame([(0, "x", 1.0), (1, "y", 1.0), (2, "a", 1.0), (3, "z", 1.0)], "cluster int, term string, weight double")
+    vectors = spark.createDataFrame([(7, "a", 1.0), (8, "q", 1.0)], "id long, term string, weight double")
+    ivf = K.TfidfIvf(None, None, centers, 4)
+    for n, want in ((1, [(7, 2), (8, 0)]), (2, [(7, 0), (7, 2), (8, 0), (8, 1)]), (9, [(i, c) for i in (7, 8) for c in range(4)])):
+        assert sorted(map(tuple, K.nearest_lists(ivf, vectors, n).collect())) == want
+
+
 def test_split_paragraphs(spark):
     df = spark.createDataFrame([(1, "one\n\n two \nthree")], "doc_id long, text string")
     got = [(r["paragraph_no"], r["paragraph"]) for r in split_paragraphs(df, min_chars=4).collect()]

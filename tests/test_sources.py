@@ -179,3 +179,20 @@ def test_index_settings_come_from_the_index(spark, tmp_path):
         SI.load_index(spark, str(tmp_path / "index"), cfg)
     with pytest.raises(ValueError, match="name the tokenizer"):
         SI.build_index(passages, str(tmp_path / "other"), cfg, "x", udf=lambda t: t)
+
+
+def test_stored_clustered_tfidf_belongs_to_its_settings(spark, tmp_path):
+    from answerloom.operators.tfidf import fit_tfidf
+    from answerloom.operators.tfidf_ivf import build_tfidf_ivf, tfidf_ivf_topk
+
+    passages = spark.createDataFrame([(i, f"word{i % 3} and word{i} here") for i in range(12)], "pid long, text string")
+    asked = spark.createDataFrame([(0, "word1 here"), (1, "word7")], "id long, question string")
+    ivf = build_tfidf_ivf(fit_tfidf(passages), passages, n_clusters=3)
+    path = str(tmp_path / "ivf")
+    SI.save_tfidf_ivf(ivf, path)
+    loaded = SI.load_tfidf_ivf(spark, path, TfidfConfig(), 3)
+    rows = [sorted(map(str, tfidf_ivf_topk(i, asked, 4, nprobe=2).select("id", "pid", "rank").collect())) for i in (ivf, loaded)]
+    assert rows[0] == rows[1] and rows[0]
+    for cfg, n in ((TfidfConfig(max_n=1), 3), (TfidfConfig(), 4)):
+        with pytest.raises(SI.StaleIndex):
+            SI.load_tfidf_ivf(spark, path, cfg, n)
