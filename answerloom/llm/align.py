@@ -43,6 +43,8 @@ from .words import blocks, ranges, split_words, tokenizer_path
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of a range, fragments that a task composes at a time, stretches a worker remembers.
 RANGE, FAN, REMEMBERED = 1 << 15, 16, 400_000
+#: Stretches that are given to the tokenizers at a time.
+ENCODED = 10_000
 #: Pair codes: A's id times this plus B's id.
 BASE = 1 << 32
 
@@ -184,8 +186,11 @@ class Aligner:
         return True
 
     def _learn(self, new: list[str]) -> None:
-        a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in new], num_threads=1)
+        a, b = [], []
+        for at in range(0, len(new), ENCODED):  # the libraries' own results are much larger than the ids
+            part = new[at : at + ENCODED]
+            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
+            b += self.b.encode([s[1:] if s[0] == " " else s for s in part], num_threads=1)
         # An empty text gets no space in front.
         b = [[self.space] if s == " " else ids if s[0] == " " else ids[1:] if ids[:1] == [self.space] else [] for ids, s in zip(b, new)]
         a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
@@ -323,25 +328,32 @@ def fragments(cut: DataFrame, files) -> DataFrame:
     def run(batches):
         known = aligner(files)
         for batch in batches:
-            rows = []
-            for key, doc, parts, idx, low, start, end, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for at, n in blocks(batch.column("stretch")):
                 known.make_room()
+                part = batch.slice(at, n)
                 # A stretch of one space alone is the space before an empty rest.
-                codes = known.stretches(pa.array([text]))[0] if text else known.numbers([" "])
-                if not known.ok[codes].all():
-                    rows.append(_row(key, doc, parts, idx, Fragment(ok=False), [], []))
-                    continue
-                a, b = known.of(0, codes), known.of(1, codes)
-                a_ends, b_ends = low + np.cumsum(known.a_size[a]), low + np.cumsum(known.b_size[b])
-                a_in, b_in = (a_ends > start) & (a_ends <= end), (b_ends > start) & (b_ends <= end)
-                a, a_ends, b, b_ends = a[a_in], a_ends[a_in], b[b_in], b_ends[b_in]
-                _, ia, ib = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-                pairs, counts = np.unique(a[ia] * BASE + b[ib], return_counts=True)
-                rows.append(_row(key, doc, parts, idx, Fragment.of(a, a_ends, b, b_ends), pairs, counts))
-            if rows:
+                there = pc.greater(pc.binary_length(part.column("stretch")), 0).to_numpy(zero_copy_only=False)
+                lone = known.numbers([" "])
+                codes, counts = known.stretches(part.column("stretch").filter(pa.array(there)))
+                own = iter(np.split(codes, np.cumsum(counts)[:-1]) if len(counts) else [])
+                rows = []
+                columns = (part.column(c).to_pylist() for c in ("key", "doc_id", "parts", "idx", "low", "start", "end"))
+                for key, doc, parts, idx, low, start, end, real in zip(*columns, there.tolist()):
+                    rows.append(fragment(known, next(own) if real else lone, key, doc, parts, idx, low, start, end))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
         give_back()
 
+    def fragment(known, codes, key, doc, parts, idx, low, start, end):
+        if not known.ok[codes].all():
+            return _row(key, doc, parts, idx, Fragment(ok=False), [], [])
+        a, b = known.of(0, codes), known.of(1, codes)
+        a_ends, b_ends = low + np.cumsum(known.a_size[a]), low + np.cumsum(known.b_size[b])
+        a_in, b_in = (a_ends > start) & (a_ends <= end), (b_ends > start) & (b_ends <= end)
+        a, a_ends, b, b_ends = a[a_in], a_ends[a_in], b[b_in], b_ends[b_in]
+        _, ia, ib = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        pairs, counts = np.unique(a[ia] * BASE + b[ib], return_counts=True)
+        return _row(key, doc, parts, idx, Fragment.of(a, a_ends, b, b_ends), pairs, counts)
+
     return cut.mapInArrow(run, FRAGMENTS)
 
 
@@ -448,8 +460,7 @@ def scored(docs: DataFrame, files, size: int, shared) -> DataFrame:
 
     def run(batches):
         known = aligner(files)
-        known._forget()
-        sums = best = np.zeros(0, np.int64)
+        sums = best = np.zeros(0, np.int64)  # by stretch, for all that are known at the first block
         for batch in batches:
             for at, n in blocks(batch.column(1)):
                 ids, texts = batch.column(0).slice(at, n), batch.column(1).slice(at, n)
