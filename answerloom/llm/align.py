@@ -29,6 +29,7 @@ import os
 import re
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ from .words import blocks, ranges, split_words, tokenizer_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of a range, fragments that a task composes at a time, stretches a worker remembers.
-RANGE, FAN, REMEMBERED = 1 << 15, 16, 400_000
-#: Stretches that are given to the tokenizers at a time.
-ENCODED = 10_000
+RANGE, FAN, REMEMBERED = 1 << 15, 16, 350_000
+#: Stretches that are given to the tokenizers at a time, bytes of text that are aligned at a time.
+ENCODED, BLOCK = 10_000, 4 << 20
 #: Pair codes: A's id times this plus B's id.
 BASE = 1 << 32
 
@@ -167,7 +168,7 @@ class Aligner:
         self.a_bytes, self.b_bytes = a_bytes(a_path), b_bytes(self.b)
         self.a_size = np.array(list(map(len, self.a_bytes)), np.int64)
         self.b_size = np.array(list(map(len, self.b_bytes)), np.int64)
-        self.space, self.limit = self.b.piece_to_id("▁"), remembered
+        self.space, self.limit, self.with_texts = self.b.piece_to_id("▁"), remembered, True
         self._forget()
 
     def _forget(self) -> None:
@@ -193,33 +194,47 @@ class Aligner:
             b += self.b.encode([s[1:] if s[0] == " " else s for s in part], num_threads=1)
         # An empty text gets no space in front.
         b = [[self.space] if s == " " else ids if s[0] == " " else ids[1:] if ids[:1] == [self.space] else [] for ids, s in zip(b, new)]
-        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        ok = []
-        for i, s in enumerate(new):
-            raw = s.encode()
-            ok.append(b"".join(map(a_of, a[i])) == raw and b"".join(map(b_of, b[i])) == raw)
-            if not ok[-1]:
+        raw = [s.encode() for s in new]
+        ok = self._whole(raw, a, b)
+        if not ok.all():
+            for i in np.flatnonzero(~ok).tolist():
                 a[i] = b[i] = []
         counts = [np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)]
-        a, b = (np.fromiter((t for ids in x for t in ids), np.int64) for x in (a, b))
+        a, b = (list(chain.from_iterable(x)) for x in (a, b))
+        a_text, b_text = a, b
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
         _, ia, ib = np.intersect1d(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), assume_unique=True, return_indices=True)
-        ends = [np.cumsum(c) for c in counts]
-        links = np.diff(np.searchsorted(ia, ends[0]), prepend=0)
-        texts, text = a.tolist(), b.tolist()
-        p = r = at = 0
-        ia_, ib_ = (ia + 1).tolist(), (ib + 1).tolist()
-        for n in links.tolist():
-            groups = []
-            for q, s in zip(ia_[at : at + n], ib_[at : at + n]):
-                groups.append(f"{texts[p]}|{text[r]}" if q - p == 1 == s - r else group_text(texts[p:q], text[r:s]))
+        links = np.diff(np.searchsorted(ia, np.cumsum(counts[0])), prepend=0)
+        if self.with_texts:
+            ends = zip((ia + 1).tolist(), (ib + 1).tolist())
+            groups, p, r = [], 0, 0
+            for q, s in ends:
+                groups.append(f"{a_text[p]}|{b_text[r]}" if q - p == 1 == s - r else group_text(a_text[p:q], b_text[r:s]))
                 p, r = q, s
-            self.texts.append(";".join(groups))
-            at += n
+            first = (np.cumsum(links) - links).tolist()
+            self.texts += [groups[i] if n == 1 else ";".join(groups[i : i + n]) for i, n in zip(first, links.tolist())]
         self.ok = np.append(self.ok, ok)
         for k, (values, n) in enumerate(((a, counts[0]), (b, counts[1]), (a[ia] * BASE + b[ib], links))):
             self.flat[k] = np.append(self.flat[k], values)
             self.ends[k] = np.append(self.ends[k], self.ends[k][-1] + np.cumsum(n))
 
+    def _whole(self, raw: list[bytes], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Which stretches both tokenizers' bytes make up."""
+        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        together = b"".join(raw)
+        if all(b"".join(map(of, chain.from_iterable(ids))) == together for of, ids in ((a_of, a), (b_of, b))):
+            # All bytes are there; every stretch's tokens must also end where it ends.
+            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+            for width, ids in ((self.a_size, a), (self.b_size, b)):
+                flat = np.fromiter(chain.from_iterable(ids), np.int64)
+                last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+                if not np.array_equal(np.append(0, np.cumsum(width[flat]))[last], ends):
+                    break
+            else:
+                return np.ones(len(raw), bool)
+        same = (b"".join(map(a_of, x)) == r == b"".join(map(b_of, y)) for x, y, r in zip(a, b, raw))
+        return np.fromiter(same, bool, len(raw))
+
     def numbers(self, words: list[str]) -> np.ndarray:
         new = [w for w in dict.fromkeys(words) if w not in self.number]
         if new:
@@ -261,12 +276,19 @@ class Aligner:
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
-def aligner(files: tuple[str, str] | None) -> Aligner:
-    """One aligner per worker process and pair of vocabularies; it outlives the task."""
+def aligner(files: tuple[str, str] | None, texts: bool = True) -> Aligner:
+    """One aligner per worker process and pair of vocabularies; it outlives the task.
+
+    ``texts`` asks for the groups' texts; links alone need none.
+    """
     files = files or (tokenizer_path(A_FILE), tokenizer_path(B_FILE))
     if files not in _ALIGNERS:
         _ALIGNERS[files] = Aligner(*files)
-    return _ALIGNERS[files]
+    known = _ALIGNERS[files]
+    if known.with_texts != texts:
+        known._forget()
+        known.with_texts = texts
+    return known
 
 
 # Very long texts -------------------------------------------------------------------
@@ -326,9 +348,9 @@ def fragments(cut: DataFrame, files) -> DataFrame:
     schema = to_arrow(FRAGMENTS)
 
     def run(batches):
-        known = aligner(files)
+        known = aligner(files, texts=False)
         for batch in batches:
-            for at, n in blocks(batch.column("stretch")):
+            for at, n in blocks(batch.column("stretch"), BLOCK):
                 known.make_room()
                 part = batch.slice(at, n)
                 # A stretch of one space alone is the space before an empty rest.
@@ -393,24 +415,24 @@ def pair_counts(docs: DataFrame, files, size: int) -> DataFrame:
     schema = to_arrow("pair long, n long")
 
     def sums(known: Aligner, uses: np.ndarray) -> pa.RecordBatch:
-        uses = np.append(uses, np.zeros(len(known.texts) - len(uses), np.int64))
+        uses = np.append(uses, np.zeros(len(known.ok) - len(uses), np.int64))
         weight = np.repeat(uses, known.sizes(2))
         pairs, which = np.unique(known.flat[2][weight > 0], return_inverse=True)
         counts = np.bincount(which, weight[weight > 0], len(pairs)).astype(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], schema=schema)
 
     def run(batches):
-        known, uses = aligner(files), np.zeros(0, np.int64)
+        known, uses = aligner(files, texts=False), np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column(0)
-            for at, n in blocks(texts):
+            for at, n in blocks(texts, BLOCK):
                 if len(known.number) > known.limit:
                     yield sums(known, uses)
                     known.make_room()
                     uses = np.zeros(0, np.int64)
                 codes, counts = known.stretches(texts.slice(at, n))
                 fine = np.logical_and.reduceat(known.ok[codes], np.cumsum(counts) - counts)
-                new = np.bincount(codes[np.repeat(fine, counts)], minlength=len(known.texts))
+                new = np.bincount(codes[np.repeat(fine, counts)], minlength=len(known.ok))
                 new[: len(uses)] += uses
                 uses = new
         yield sums(known, uses)
@@ -462,7 +484,7 @@ def scored(docs: DataFrame, files, size: int, shared) -> DataFrame:
         known = aligner(files)
         sums = best = np.zeros(0, np.int64)  # by stretch, for all that are known at the first block
         for batch in batches:
-            for at, n in blocks(batch.column(1)):
+            for at, n in blocks(batch.column(1), BLOCK):
                 ids, texts = batch.column(0).slice(at, n), batch.column(1).slice(at, n)
                 if known.make_room():
                     sums = best = np.zeros(0, np.int64)
