@@ -43,7 +43,7 @@ from .words import blocks, ranges, split_words, tokenizer_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of a range, fragments that a task composes at a time, stretches a worker remembers.
-RANGE, FAN, REMEMBERED = 1 << 15, 16, 350_000
+RANGE, FAN, REMEMBERED = 1 << 14, 16, 450_000
 #: Stretches that are given to the tokenizers at a time, bytes of text that are aligned at a time.
 ENCODED, BLOCK = 10_000, 4 << 20
 #: Pair codes: A's id times this plus B's id.
