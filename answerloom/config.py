@@ -18,6 +18,10 @@ ENSEMBLE_MODELS = 3
 
 # A table is broadcast only after its size was measured to be below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Postings in one file of a stored index, which holds a range of terms.
+FILE_POSTINGS = 4_000_000
+# Postings met by a question set from which a stored index is searched by block maxima.
+MANY_POSTINGS = 50_000_000
 # Bytes of vectors a single cell of a blocked vector search may hold on one side.
 CELL_BYTES = 32 * 1024 * 1024
 # Bytes of pivots that group vectors for such a search.
@@ -35,7 +39,6 @@ class TfidfConfig:
     min_n: int = NGRAM_RANGE[0]
     max_n: int = NGRAM_RANGE[1]
     tokenizer: str = "regex"
-    buckets: int = 64
 
 
 @dataclass(frozen=True)

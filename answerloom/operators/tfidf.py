@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,11 +23,17 @@ SLICE_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class TfidfIndex:
-    """A fitted index: ``vocab(term, df, ctf, idf)`` and ``postings(term, pid, weight)``."""
+    """A fitted index: ``vocab(term, df, ctf, idf)`` and ``postings(term, pid, weight)``.
+
+    A stored one also has the ``block`` of each posting's passage, ``tops(part, term, block, top)``
+    with the largest weights, and ``places(term, part)``: the file parts that hold a term.
+    """
 
     vocab: DataFrame
     postings: DataFrame
     config: TfidfConfig
+    tops: DataFrame | None = None
+    places: DataFrame | None = None
 
 
 def term_freq(df: DataFrame, key: str, text: str, cfg: TfidfConfig, udf=None) -> DataFrame:
@@ -146,14 +152,14 @@ def fits_broadcast(
 
 
 def term_join(
-    postings: DataFrame, wanted: DataFrame, totals: DataFrame, keys: list[str], small: bool
+    postings: DataFrame, wanted: DataFrame, totals: DataFrame, keys: list[str], small: bool, by: str = "pid"
 ) -> DataFrame:
     """Postings with the query rows ``wanted`` of their term, in one plan for any query set.
 
     A small query table, by a measure the caller made, is broadcast and the postings
     stay in place. Else both sides meet by term; a term with more than ``SLICE_ROWS``
-    postings by ``totals(term, df)`` meets in slices of its passages, its query rows
-    repeated in each slice.
+    postings by ``totals(term, df)`` meets in slices of its passages, or of the column
+    ``by``, its query rows repeated in each slice.
     """
     if small:
         return postings.join(F.broadcast(wanted), keys)
@@ -166,20 +172,29 @@ def term_join(
     if size <= BROADCAST_BYTES:
         hot = F.broadcast(hot)
     n = F.coalesce("slices", F.lit(1))
-    left = postings.join(hot, "term", "left").withColumn("slice", F.pmod(F.xxhash64("pid"), n).cast("int"))
+    left = postings.join(hot, "term", "left").withColumn("slice", F.pmod(F.xxhash64(by), n).cast("int"))
     right = wanted.join(hot, "term", "left").withColumn("slice", F.explode(F.sequence(F.lit(0), n - 1)))
     return left.drop("slices").join(right.drop("slices"), [*keys, "slice"]).drop("slice")
 
 
+def only_parts(index: TfidfIndex, vectors: DataFrame) -> TfidfIndex:
+    """A stored index cut to the file parts that hold a term of ``vectors``; others are never opened.
+
+    Only the numbers of parts, at most one per file, pass through the driver.
+    """
+    if index.places is None:
+        return index
+    parts = index.places.join(vectors.select("term").distinct(), "term", "left_semi")
+    wanted = F.col("part").isin(sorted(r["part"] for r in parts.select("part").distinct().collect()))
+    return replace(index, postings=index.postings.where(wanted), tops=index.tops.where(wanted))
+
+
 def scores_of(index: TfidfIndex, queries: DataFrame, small: bool, udf=None) -> DataFrame:
     """Cosine of every passage sharing a term with each query; ``small`` was measured."""
     vectors = transform_queries(index, queries, udf).withColumnRenamed("weight", "q_weight")
-    keys = ["term"]
-    if "bucket" in index.postings.columns:
-        vectors = vectors.withColumn("bucket", term_bucket(index.config))
-        keys = ["bucket", "term"]
+    postings = only_parts(index, vectors).postings
     return (
-        term_join(index.postings, vectors, index.vocab, keys, small)
+        term_join(postings, vectors, index.vocab, ["term"], small)
         .groupBy("pid", "id")
         .agg(F.sum(F.col("weight") * F.col("q_weight")).alias("score"))
     )
@@ -206,8 +221,3 @@ def tfidf_topk(
 ) -> DataFrame:
     """The ``k`` best passages of each query, ``(id, pid, score, rank)``."""
     return top_k(score(index, queries, limit, udf), "id", score_order(), k)
-
-
-def term_bucket(cfg: TfidfConfig) -> Column:
-    """Storage bucket of a term in a written index."""
-    return F.pmod(F.xxhash64("term"), F.lit(cfg.buckets)).cast("int")

@@ -526,6 +526,7 @@ ORACLES: dict[str, str] = {
     "tfidf_scores": f"""WITH {INDEX},{QUESTIONS},{QVEC},{SCORES}
         SELECT id, pid, round(score, 6) AS score FROM scores""",
     "tfidf_topk": TOPK,
+    "tfidf_topk_blocks": TOPK,
     "retrieve_context": f"""{_search()},{GOLD},{_context(10)}
         SELECT q.id, q.question, coalesce(c.context_ids, '') AS context_ids,
           coalesce(c.score_sum, 0) AS score_sum, coalesce(c.context, '') AS context,

@@ -23,6 +23,7 @@ from ..operators import reader as R
 from ..operators import tfidf as S
 from ..operators import vectors as V
 from ..operators import windows as W
+from ..operators.block_max import block_max_topk
 from ..operators.bm25 import bm25_topk
 from ..operators.passages import assign_passage_ids, corpus_stats, split_paragraphs
 from ..operators.tfidf_ivf import build_tfidf_ivf
@@ -199,6 +200,12 @@ def tfidf_scores(spark, sf):
     return _rounded(S.score(_index(spark, sf), X.questions(spark, sf)), "score")
 
 
+def tfidf_topk_blocks(spark, sf):
+    """The same search in a stored index, by block maxima."""
+    index = SI.load_or_build(X.passages(spark, sf), new_path(spark, "tfidf"), TFIDF)
+    return _rounded(block_max_topk(index, X.questions(spark, sf), TOP), "score").select("id", "pid", "rank", "score")
+
+
 def tfidf_topk(spark, sf):
     hits = S.tfidf_topk(_index(spark, sf), X.questions(spark, sf), TOP)
     return _rounded(hits, "score").select("id", "pid", "rank", "score")
@@ -581,6 +588,7 @@ QUERIES: dict[str, Query] = {
     "tfidf_single": tfidf_single,
     "tfidf_scores": tfidf_scores,
     "tfidf_topk": tfidf_topk,
+    "tfidf_topk_blocks": tfidf_topk_blocks,
     "retrieve_context": retrieve_context,
     "oov_queries": oov_queries,
     "retrieval_hit_rate": retrieval_hit_rate,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from answerloom.config import Bm25Config, TfidfConfig
 from answerloom.functions.text import tokenizer_udf
+from answerloom.operators import block_max
 from answerloom.operators.bm25 import bm25_topk, build_bm25, load_bm25
 from answerloom.operators.passages import assign_passage_ids, dedup_passages, split_paragraphs
 from answerloom.operators.sizing import query_blocks
@@ -13,12 +14,15 @@ from answerloom.operators.tfidf import (
     build_vocab,
     fit_tfidf,
     oov_queries,
+    score,
+    score_order,
     term_freq,
     tfidf_topk,
     transform_queries,
 )
 from answerloom.operators.tfidf_ivf import build_tfidf_ivf, tfidf_ivf_topk
 from answerloom.plans.retrieval import hit_rate, reader_input, retrieve
+from answerloom.sources.index_store import build_index, load_index
 
 DOCS = [
     (3, "red apple pie"), (1, "green apple tree"), (7, "red red wine"), (4, "red apple pie"),
@@ -142,6 +146,43 @@ def test_large_query_sets_meet_postings_by_term_in_one_plan(passages, queries, m
     assert joins(many) == joins(queries)
 
 
+@pytest.mark.parametrize("bits,limit", [(0, 1 << 26), (1, 0), (6, 1 << 26)])
+def test_block_maxima_find_the_same_hits(spark, passages, queries, tmp_path, monkeypatch, bits, limit):
+    monkeypatch.setattr(block_max, "FIRST_BLOCKS", 1)
+    monkeypatch.setattr("answerloom.operators.tfidf.SLICE_ROWS", 1 if limit == 0 else 10**6)
+    monkeypatch.setattr(block_max.passage_blocks, "__defaults__", (bits,))
+    cfg = TfidfConfig()
+    build_index(passages, str(tmp_path / "index"), cfg, "x")
+    index = load_index(spark, str(tmp_path / "index"), cfg)
+    for k in (1, 2, 3, 20):
+        assert collected(block_max.block_max_topk(index, queries, k, limit)) == plain_tfidf(k)
+    monkeypatch.setattr("answerloom.plans.retrieval.MANY_POSTINGS", 0)
+    by_blocks = {r["id"]: r["context"] for r in retrieve(index, passages, queries, 2, limit).collect()}
+    assert by_blocks == {r["id"]: r["context"] for r in retrieve(fit_tfidf(passages), passages, queries, 2).collect()}
+    assert block_max.block_max_topk(index, queries.limit(0), 2, limit).count() == 0
+    with pytest.raises(ValueError, match="block maxima"):
+        block_max.block_max_topk(fit_tfidf(passages), queries)
+
+
+def test_blocks_below_the_floor_are_not_scored(spark, tmp_path):
+    """Questions share frequent words with every passage, and few can be among the best."""
+    texts = [f"the a of topic{i % 50} word{i % 50} thing{i} more{i % 7}" for i in range(1000)]
+    passages = spark.createDataFrame(list(enumerate(texts)), "pid long, text string")
+    asked = spark.createDataFrame([(i, f"the a of topic{i} word{i}") for i in range(20)], "id long, question string")
+    cfg = TfidfConfig(max_features=None, max_n=1)
+    build_index(passages, str(tmp_path / "index"), cfg, "x")
+    index = load_index(spark, str(tmp_path / "index"), cfg)
+    vectors = transform_queries(index, asked).withColumnRenamed("weight", "q_weight")
+    bounds = block_max.block_bounds(index, vectors, True)
+    first = block_max.top_k(bounds, "id", [F.desc("bound"), F.asc("block")], 8).select("id", "block")
+    scored = block_max._scored(index, vectors, first, 1 << 26)
+    rest = block_max.surviving_blocks(bounds, first, block_max.top_k(scored, "id", score_order(), 5), 5)
+    rows = scored.count() + block_max._scored(index, vectors, rest, 1 << 26).count()
+    pairs = score(index, asked).count()
+    assert pairs == 20 * 1000 and rows < pairs / 10
+    assert collected(block_max.block_max_topk(index, asked, 5)) == collected(tfidf_topk(index, asked, 5))
+
+
 def test_stored_bm25_index(spark, passages, queries, tmp_path):
     build_bm25(passages, str(tmp_path / "bm25"))
     again = load_bm25(spark, str(tmp_path / "bm25"))

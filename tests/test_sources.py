@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from answerloom.config import TfidfConfig
 from answerloom.operators.answers import postprocess
+from answerloom.operators.block_max import block_max_topk
 from answerloom.operators.ensemble import ensemble_pick, ensemble_votes
 from answerloom.operators.passages import dedup_passages
-from answerloom.operators.tfidf import fit_tfidf, tfidf_topk
+from answerloom.operators.tfidf import fit_tfidf, only_parts, tfidf_topk, transform_queries
 from answerloom.operators.vectors import build_ivf, ivf_topk
 from answerloom.plans.answering import answer, evaluate
 from answerloom.operators.reader import arithmetic_reader
@@ -61,7 +62,7 @@ def test_index_is_reused_until_something_changes(spark, tmp_path):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     passages = dedup_passages(docs)
     queries = spark.createDataFrame([(0, "red sky"), (1, "hill")], "id long, question string")
-    cfg, path = TfidfConfig(buckets=4), str(tmp_path / "index")
+    cfg, path = TfidfConfig(), str(tmp_path / "index")
 
     def hits(index):
         rows = tfidf_topk(index, queries, 3).select("id", "pid", F.round("score", 9).alias("s"))
@@ -168,11 +169,11 @@ def test_index_settings_come_from_the_index(spark, tmp_path):
     from dataclasses import replace
 
     passages = spark.createDataFrame([(1, "red fox"), (2, "red dog")], "pid long, text string")
-    cfg = TfidfConfig(max_features=None, buckets=8)
+    cfg = TfidfConfig(max_features=None)
     SI.load_or_build(passages, str(tmp_path / "index"), cfg)
     assert SI.load_index(spark, str(tmp_path / "index"), cfg).vocab.count() > 0
     with pytest.raises(SI.StaleIndex):
-        SI.load_index(spark, str(tmp_path / "index"), replace(cfg, buckets=4))
+        SI.load_index(spark, str(tmp_path / "index"), replace(cfg, max_n=1))
     # A rebuild that broke off leaves a meta row that fits no index.
     SI._write_meta(spark, str(tmp_path / "index"), cfg, "incomplete", "overwrite")
     with pytest.raises(SI.StaleIndex):
@@ -196,3 +197,29 @@ def test_stored_clustered_tfidf_belongs_to_its_settings(spark, tmp_path):
     for cfg, n in ((TfidfConfig(max_n=1), 3), (TfidfConfig(), 4)):
         with pytest.raises(SI.StaleIndex):
             SI.load_tfidf_ivf(spark, path, cfg, n)
+
+
+def test_stored_postings_lie_in_term_ranges(spark, tmp_path):
+    """A search of few terms opens few files; a frequent term spans several."""
+    words = [f"w{i:03}" for i in range(300)]
+    texts = [" ".join(["often", *words[i % 300 : i % 300 + 3]]) for i in range(600)]
+    passages = spark.createDataFrame(list(enumerate(texts)), "pid long, text string")
+    cfg = TfidfConfig(max_features=None, max_n=1)
+    SI.build_index(passages, str(tmp_path / "index"), cfg, "x", file_postings=100)
+    index = SI.load_index(spark, str(tmp_path / "index"), cfg)
+
+    def files(kept):
+        return kept.postings.select(F.input_file_name()).distinct().count()
+
+    asked = spark.createDataFrame([(0, "w007"), (1, "w008")], "id long, question string")
+    few = only_parts(index, transform_queries(index, asked))
+    assert files(index) >= 20 and files(few) <= 3
+    parts = {r["term"]: r["n"] for r in index.places.groupBy("term").agg(F.count("*").alias("n")).collect()}
+    assert parts["often"] > 1
+    fresh = fit_tfidf(passages, cfg)
+    both = asked.unionByName(spark.createDataFrame([(2, "often w001"), (3, "unknown")], "id long, question string"))
+    for found in (tfidf_topk(index, both, 5), block_max_topk(index, both, 5)):
+        rows = found.select("id", "pid", "rank", F.round("score", 9))
+        want = tfidf_topk(fresh, both, 5).select("id", "pid", "rank", F.round("score", 9))
+        assert sorted(rows.collect()) == sorted(want.collect())
+    assert only_parts(index, transform_queries(index, both.where("id = 3"))).postings.count() == 0
