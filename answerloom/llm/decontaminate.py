@@ -12,9 +12,11 @@ read as one space. The budget is ``ERRORS`` of the item's length.
 The items are the query set: they are sent to all tasks in blocks of at most ``BLOCK`` bytes of
 text, one pass over the documents for each block.
 
-Defined results: null and empty texts match nothing; items that are null or have fewer than
-``LEAST`` characters left match nothing, they would match everywhere; repeated items are
-reported each by its id; a null item id is ignored; empty tables give no match; other columns
+An item of fewer than ``LEAST`` characters has no budget: it is found word for word, between word
+bounds.
+
+Defined results: null and empty texts match nothing; items that are null or have no letter or
+digit match nothing; repeated items are reported each by its id; a null item id is ignored; empty tables give no match; other columns
 are kept by ``drop_contaminated`` and ignored otherwise.
 """
 
@@ -92,10 +94,13 @@ class Matcher:
         self.automaton = ahocorasick.Automaton()
         self.same: dict[str, list[int]] = {}
         for item, text in items:
-            if item is not None and len(text) >= LEAST:
+            if item is not None and text:
                 self.same.setdefault(text, []).append(item)
         hits: dict[str, list] = {}
         for text in self.same:
+            if len(text) < LEAST:
+                hits.setdefault(f" {text} ", []).append((text, None))
+                continue
             budget = int(errors * len(text))
             cuts = [len(text) * i // (budget + 1) for i in range(budget + 2)]
             self._tree(text, cuts, 0, budget + 1, None, hits)
@@ -120,11 +125,15 @@ class Matcher:
         found: dict[str, int] = {}
         if self.empty or not text:
             return {}
+        text = f" {text} "  # word bounds for short items
         done: set = set()
         for end, where in self.automaton.iter(text):
             for item, node in where:
                 if found.get(item) == 0:
                     continue
+                if node is None:
+                    found[item] = 0
+                    continue
                 at = end + 1 - node.high  # where the item would begin
                 distance = self._verify(text, item, node, at, done)
                 if distance is not None and distance < found.get(item, 1 << 30):

@@ -189,6 +189,23 @@ def test_decontamination_against_dynamic_programming():
         assert decontaminate.Matcher([(7, item)]).find(text) == want
 
 
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "Boiling point"), (2, "42"), (3, "point"), (4, "..."), (5, None), (6, "boiling-point")]
+    texts = ["the boiling point, twice: Boiling  Point", "boiling points", "a point", "142 and 42", "point", "", None]
+    want = [[1, 3, 6], [], [3], [2], [3], [], []]
+    found = decontaminate.Matcher([(i, decontaminate.normalise(t)) for i, t in items])
+    assert [sorted(found.find(t)) for t in texts] == want
+    docs = frame(spark, list(enumerate(texts)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    kept = {r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect()}
+    assert kept == {i for i, found in enumerate(want) if not found}
+    assert decontaminate.contamination(docs.limit(0), benchmark).count() == 0
+    assert decontaminate.drop_contaminated(docs.limit(0), benchmark).count() == 0
+    assert decontaminate.drop_contaminated(frame(spark, ODD), benchmark.limit(0)).count() == len(ODD)
+
+
 def test_decontamination_of_tables(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
