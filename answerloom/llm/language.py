@@ -5,10 +5,11 @@ models share one sorted array of n-gram hashes; beside each hash stand its log-p
 every language and the weights of backing off from it. A text's score in a language is the
 cross-entropy per character; the lowest wins. Each word is scored once per worker.
 
-The models learn from a bounded sample: ``ROWS`` rows per language, of at most ``LONGEST``
-characters, in the order of a hash, outside the held-out fold. Languages beyond ``LANGUAGES``
-(the most frequent ones) are not learned. A fifth of the sample calibrates the probability and,
-per language, the cross-entropy above which a text counts as rejected.
+The models learn every language from a bounded sample: ``ROWS`` rows of each, in the order of a
+hash, outside the held-out fold, and fewer (at least ``FEWEST``) where ``ALL_ROWS`` in total would
+be passed. Of a text above ``LONGEST`` characters a window of that length counts, at a place drawn
+by a hash. A fifth of the sample calibrates the probability and, per language, the cross-entropy
+above which a text counts as rejected.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, also if nothing
 could be learned; equal cross-entropies go to the language first in code-point order; repeated
@@ -29,7 +30,8 @@ from pyspark.sql.window import Window
 from .common import fold, map_rows, table
 
 ORDER = 5
-ROWS, LONGEST, LANGUAGES = 1500, 20_000, 200
+ROWS, LONGEST = 1500, 20_000
+FEWEST, ALL_ROWS = 5, 300_000
 #: Words a worker remembers.
 REMEMBERED = 300_000
 START, END = 2, 3
@@ -231,15 +233,19 @@ def _calibrate(model: LanguageModel, texts: dict[str, list[str]]) -> LanguageMod
 
 def fit_languages(docs: DataFrame) -> LanguageModel | None:
     """Fit on a bounded sample of the rows outside the held-out fold."""
-    usable = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= LONGEST) & ~fold(0))
-    known = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    # About twice the bound of each language by another hash, so that no window sees a whole language.
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) * F.col("count") < float(2 * ROWS << 20)
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~fold(0))
+    counts = usable.groupBy("lang").count()
+    most = max(FEWEST, min(ROWS, ALL_ROWS // max(1, counts.count())))
+    # About twice the bound of each language by another hash, so that no window sees a whole language;
+    # few rows are all drawn, because a draw of few could miss them.
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) * F.col("count") < float(2 * max(most, 100) << 20)
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").join(F.broadcast(known), "lang").filter(drawn).withColumn("n", order).filter(F.col("n") <= ROWS)
+    ids = usable.select("doc_id", "lang").join(counts, "lang").filter(drawn).withColumn("n", order).filter(F.col("n") <= most)
     ids = ids.select("doc_id", "lang")
-    # At most LANGUAGES * ROWS ids.
-    rows = usable.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
+    place = F.pmod(F.xxhash64("doc_id", F.lit("window")), F.greatest(F.length("text") - LONGEST, F.lit(0)) + 1)
+    window = F.substring("text", place.cast("int") + 1, F.lit(LONGEST))
+    # At most ALL_ROWS ids, or FEWEST of each language.
+    rows = usable.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", window.alias("text"))
     samples: dict[str, list[str]] = defaultdict(list)
     for _, lang, text in sorted(rows.toPandas().itertuples(index=False, name=None)):
         samples[lang].append(text)

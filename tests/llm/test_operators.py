@@ -375,6 +375,24 @@ def test_languages_held_out(spark):
     assert {r.lang_pred for r in language.languages(frame(spark, ODD), None).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """More than two hundred of them, and one that has only very long texts."""
+    letters = [chr(0x1401 + i) for i in range(211)]
+    rows = [(i * 40 + j, f"l{i:03}", f"{c}{c} {c}{c}{c}") for i, c in enumerate(letters) for j in range(12)]
+    rows += [(10**6 + j, "long", "qpq pqp " * 5000) for j in range(12)]
+    rows += [(10**7, None, "ab"), (None, "l000", letters[0]), (10**7 + 1, "l001", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language.fit_languages(docs)
+    assert set(model.names) == {f"l{i:03}" for i in range(211)} | {"long"}
+    got = {r.doc_id: r.lang_pred for r in language.languages(docs.filter("doc_id < 8000 OR lang = 'long'"), model).collect()}
+    right = sum(got[i] == lang for i, lang, _ in rows if i in got)
+    assert right >= 0.99 * len(got)
+    monkeypatch.setattr(language, "ALL_ROWS", 212 * 6)  # fewer of each, none left out
+    assert set(language.fit_languages(docs).names) == set(model.names)
+    assert language.fit_languages(docs.limit(0)) is None
+    assert language.languages(docs.limit(0), None).count() == 0
+
+
 def test_kneser_ney_sums_to_one():
     model = language.fit({"a": ["abba baab abab"] * 8}, order=3)
     words = ["".join(w) for w in __import__("itertools").product("ab", repeat=1)]
