@@ -240,7 +240,8 @@ def fit_languages(docs: DataFrame) -> LanguageModel | None:
     # few rows are all drawn, because a draw of few could miss them.
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) * F.col("count") < float(2 * max(most, 100) << 20)
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").join(counts, "lang").filter(drawn).withColumn("n", order).filter(F.col("n") <= most)
+    # One row per language, of which the driver takes at least FEWEST texts each; no row moves before the draw.
+    ids = usable.select("doc_id", "lang").join(F.broadcast(counts), "lang").filter(drawn).withColumn("n", order).filter(F.col("n") <= most)
     ids = ids.select("doc_id", "lang")
     place = F.pmod(F.xxhash64("doc_id", F.lit("window")), F.greatest(F.length("text") - LONGEST, F.lit(0)) + 1)
     window = F.substring("text", place.cast("int") + 1, F.lit(LONGEST))
