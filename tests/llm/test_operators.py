@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -362,6 +363,76 @@ def test_alike_mentions_are_added(spark):
     assert pii.find_pii(frame(spark, rows).limit(0), pii.Field()).count() == 0
 
 
+OTHER_FORMS = [  # (text, what the field adds)
+    ("call +49 30 12345678 or 030 12345678 today", ["030 12345678"]),
+    ("030 12345678, " + "then much later " * 50 + "+49 (30) 1234-5678", ["030 12345678"]),
+    ("call +1 (555) 123-4567; order 9991234; or 555-123-4567", ["555-123-4567"]),
+    ("card 4111 1111 1111 1111, again 4111.1111.1111.1111", ["4111.1111.1111.1111"]),
+    ("4111111111111111 then 7536784127813050 4111111111111111", ["4111111111111111"]),
+    ("john.smith@example.com is john.smith [at] example (dot) com", ["john.smith [at] example (dot) com"]),
+    ("see <john.smith@intranet>, not ann.lee@intranet, or john.smith@example.com", ["john.smith@intranet"]),
+    ("host 192.168.100.200 is 192-168-100-200", ["192-168-100-200"]),
+    ("030 12345678 and 030 12345678, a.b [at] c (dot) de, 99949115180 and 99949115180", []),
+    ("+49 30 12345678 and 030 12345679; x.y@example.com, z.w@local", []),
+]
+
+
+def test_values_in_another_form_are_added(spark):
+    """With the production potentials: every planted repeat is found, and nothing else."""
+    model = pii.fit_field(spark.read.parquet(f"{SF}/documents.parquet"))
+    rows = [(i, text) for i, (text, _) in enumerate(OTHER_FORMS)]
+    found = {r.doc_id: r for r in pii.find_pii(frame(spark, rows), model).collect()}
+    for i, (text, want) in enumerate(OTHER_FORMS):
+        base = pii._written(pii.base_spans(text))
+        spans = [s.split(":") for s in found[i].spans.split(",") if s and s not in base.split(",")]
+        assert [text[int(s) : int(e)] for _, s, e in spans] == want, text
+        assert found[i].n_added == len(want)
+
+
+def test_marginals_equal_enumeration():
+    """Without loops, message passing gives the exact probabilities, also over many steps."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 5):
+        nodes = [
+            pii.Mention(1000 * i, 1000 * i + 9, int(rng.integers(4)) if rng.random() < 0.3 else None, (f"f{i}",),
+                        ((pii.SAME, f"v{i % 2}"),) if i < 3 else ((pii.SAME, f"w{i}"),))
+            for i in range(n)
+        ]
+        if n == 5:  # and a near neighbour
+            nodes[4].start, nodes[4].end = nodes[3].end + 5, nodes[3].end + 9
+        pairs = rng.normal(size=(3, 5, 5))
+        model = pii.Field(rng.normal(size=5), {f"f{i}": rng.normal(size=5) for i in range(n)}, pairs)
+        said = Counter(x.keys[0] for x in nodes if x.label is None)
+        want = np.zeros((n, 5))
+        for labels in itertools.product(range(5), repeat=n):
+            if any(x.label not in (None, k) for x, k in zip(nodes, labels)):
+                continue
+            score = sum((model.prior[k] + model.weights[f"f{i}"][k]) / said[x.keys[0]]
+                        for i, (x, k) in enumerate(zip(nodes, labels)) if x.label is None)
+            score += sum(pairs[level, labels[i], labels[j]] for i, j, level in pii._edges(nodes))
+            want[np.arange(n), labels] += np.exp(score)
+        want /= want.sum(1, keepdims=True)
+        assert np.allclose(pii.posteriors(nodes, model), want, atol=1e-6)
+
+
+def test_potentials_count_every_row(spark):
+    """Counts of tasks add up to those of all rows, whatever the partitions; an empty table has the plain prior."""
+    texts = [(i, t) for i, (t, _) in enumerate(OTHER_FORMS * 40)] + [(None, None), (5, "")]
+    whole = pii.fit([t for _, t in texts])
+    for parts in (1, 7):
+        got = pii.fit_field(frame(spark, texts).repartition(parts))
+        assert np.allclose(got.prior, whole.prior) and np.allclose(got.pairs, whole.pairs)
+        assert got.weights.keys() == whole.weights.keys()
+        assert all(np.allclose(got.weights[f], whole.weights[f]) for f in whole.weights)
+    empty = pii.fit_field(frame(spark, texts).limit(0))
+    assert not empty.weights and np.allclose(np.exp(empty.prior), 1 / 5)
+
+
+def test_long_texts_without_spaces():
+    text = "a" * 300_000 + " " + "x1." * 100_000 + "@" + " 12" * 50_000 + " +49 30 12345678 030 12345678"
+    assert len(pii.mentions(text, pii.base_spans(text))) >= 1
+
+
 def test_clean_documents_get_no_added_spans(spark):
     assert QUERIES["op9_pii"](spark, SF).filter("n_added > 0").count() <= 2
 
