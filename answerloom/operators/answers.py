@@ -3,7 +3,8 @@
 Features are windows with ``start_logits``, ``end_logits`` and masked
 ``offsets``. Spans are formed inside each window row; a single exchange on the
 example id ranks them, and everything after it works on one short array per
-example.
+example. With the no-answer candidate each window adds its null score to its
+spans, so that the windows are still read once.
 """
 
 from __future__ import annotations
@@ -26,10 +27,13 @@ def features_per_example(examples: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def _null_logits() -> tuple[Column, Column]:
+    return tuple(F.get(name, F.lit(0)).cast("double") for name in ("start_logits", "end_logits"))
+
+
 def null_scores(features: DataFrame) -> DataFrame:
     """Lowest score of the start token over all windows; the first window wins ties."""
-    start = F.get("start_logits", F.lit(0)).cast("double")
-    end = F.get("end_logits", F.lit(0)).cast("double")
+    start, end = _null_logits()
     lowest = F.min(
         F.struct(
             (start + end).alias("score"), F.col("window_no"),
@@ -141,15 +145,21 @@ def candidate_spans(
     )
     return rows.select(
         "example_id", "window_no", "start_rank", "end_rank", "start_place", "end_place",
-        "start_char", "end_char", "start_logit", "end_logit",
-        (F.col("start_logit") + F.col("end_logit")).alias("score"),
-        F.substring(
-            "window_text", F.col("start_char") - F.col("text_start") + 1,
-            F.col("end_char") - F.col("start_char"),
-        ).alias("text"),
+        "start_char", "end_char", "start_logit", "end_logit", _score(), _text(),
     )
 
 
+def _score() -> Column:
+    return (F.col("start_logit") + F.col("end_logit")).alias("score")
+
+
+def _text() -> Column:
+    return F.substring(
+        "window_text", F.col("start_char") - F.col("text_start") + 1,
+        F.col("end_char") - F.col("start_char"),
+    ).alias("text")
+
+
 def best_spans(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) -> DataFrame:
     """The best spans of each example over all its windows, ``rank`` from 1.
 
@@ -160,6 +170,44 @@ def best_spans(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) -> DataF
     return top_k(spans, "example_id", order, cfg.n_best_size)
 
 
+def spans_and_null(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) -> DataFrame:
+    """``(id, spans, null)``: the best spans of :func:`best_spans` and the score of :func:`null_scores`.
+
+    A window gives its best spans and one row for its null score. Both are cut
+    to the best per example before the exchange, so an example sends at most
+    ``n_best_size`` rows of each kind per task, however many windows it has.
+    """
+    start, end = _null_logits()
+    null = F.struct((start + end).alias("score"), start.alias("start_logit"), end.alias("end_logit"))
+
+    def entries(spans: Column) -> Column:
+        no_null = F.when(F.lit(False), null)
+        of_spans = F.transform(
+            spans, lambda p: F.struct(F.lit(False).alias("is_null"), p.alias("p"), no_null.alias("null"))
+        )
+        no_span = F.get(spans, F.lit(-1))
+        of_null = F.struct(F.lit(True).alias("is_null"), no_span.alias("p"), null.alias("null"))
+        return F.concat(of_spans, F.array(of_null))
+
+    spans = F.slice(F.sort_array(_window_spans(features, cfg)), 1, cfg.n_best_size)
+    rows = (
+        top_positions(features, cfg.n_best_size)
+        .select("example_id", "window_no", "text_start", "window_text", F.explode(let(spans, entries)).alias("c"))
+        .select("example_id", "window_no", "text_start", "window_text", "c.is_null", "c.null", "c.p.*")
+        .select(
+            "example_id", "is_null", "null", "window_no", "start_rank", "end_rank", "start_logit", "end_logit",
+            _score(), _text(),
+        )
+    )
+    order = [F.asc("null.score"), F.desc("score"), F.asc("window_no"), F.asc("start_rank"), F.asc("end_rank")]
+    best = top_k(rows, ["example_id", "is_null"], order, cfg.n_best_size)
+    span = F.struct("rank", "text", "start_logit", "end_logit", "score", F.lit(False).alias("is_null"))
+    return best.groupBy(F.col("example_id").alias("id")).agg(
+        F.sort_array(F.collect_list(F.when(~F.col("is_null"), span))).alias("spans"),
+        F.max(F.when(F.col("is_null") & (F.col("rank") == 1), F.col("null"))).alias("null"),
+    )
+
+
 def _prediction(text, start, end, score, is_null) -> Column:
     return F.struct(
         text.alias("text"), start.alias("start_logit"), end.alias("end_logit"),
@@ -170,7 +218,7 @@ def _prediction(text, start, end, score, is_null) -> Column:
 def _add_null(spans: Column, cfg: AnswerConfig) -> Column:
     """Put the no-answer candidate in its place, last among equals, and never lose it."""
     null = _prediction(
-        F.lit(""), F.col("start_logit"), F.col("end_logit"), F.col("null_score"), F.lit(True)
+        F.lit(""), F.col("null.start_logit"), F.col("null.end_logit"), F.col("null_score"), F.lit(True)
     )
 
     def merged(s: Column) -> Column:
@@ -229,14 +277,17 @@ def nbest(examples: DataFrame, features: DataFrame, cfg: AnswerConfig = AnswerCo
     Every example gets a row, also one without windows. With ``allow_null`` the
     row also carries ``null_score``.
     """
-    span = F.struct(
-        "rank", "text", "start_logit", "end_logit", "score", F.lit(False).alias("is_null")
-    )
-    spans = (
-        best_spans(features, cfg)
-        .groupBy(F.col("example_id").alias("id"))
-        .agg(F.sort_array(F.collect_list(span)).alias("spans"))
-    )
+    if cfg.allow_null:
+        spans = spans_and_null(features, cfg)
+    else:
+        span = F.struct(
+            "rank", "text", "start_logit", "end_logit", "score", F.lit(False).alias("is_null")
+        )
+        spans = (
+            best_spans(features, cfg)
+            .groupBy(F.col("example_id").alias("id"))
+            .agg(F.sort_array(F.collect_list(span)).alias("spans"))
+        )
     rows = examples.select("id").join(spans, "id", "left")
     ranked = F.transform(
         F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)),
@@ -245,7 +296,7 @@ def nbest(examples: DataFrame, features: DataFrame, cfg: AnswerConfig = AnswerCo
         ),
     )
     if cfg.allow_null:
-        rows = rows.join(null_scores(features), "id", "left")
+        rows = rows.withColumn("null_score", F.col("null.score"))
         staged = rows.select("id", "null_score", _add_null(ranked, cfg).alias("p"))
     else:
         staged = rows.select("id", ranked.alias("p"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_k(df: DataFrame, key: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:
+def top_k(df: DataFrame, key: str | list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """First ``k`` rows of every key; ``rank`` counts from 1.
 
     The filter right above ``row_number`` makes Spark cut each key to ``k`` rows

@@ -159,3 +159,22 @@ def test_one_example_with_most_windows_is_cut_before_the_exchange(spark):
     assert spans.count() == 20
     plan = spans._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_spans_and_null_in_one_pass(spark, random_windows):
+    """One reading of the windows gives what the two separate operators give."""
+    cfg = AnswerConfig(n_best_size=3, max_answer_length=4, allow_null=True)
+    features = frame(spark, random_windows)
+    got = {r["id"]: r for r in A.spans_and_null(features, cfg).collect()}
+    nulls = {r["id"]: r for r in A.null_scores(features).collect()}
+    spans = {}
+    for r in A.best_spans(features, cfg).orderBy("rank").collect():
+        spans.setdefault(r["example_id"], []).append((r["rank"], r["text"], r["score"]))
+    assert got.keys() == nulls.keys()
+    for name, row in got.items():
+        assert [(s["rank"], s["text"], s["score"]) for s in row["spans"]] == spans.get(name, [])
+        null = row["null"]
+        assert (null["score"], null["start_logit"]) == (nulls[name]["null_score"], nulls[name]["start_logit"])
+    plan = A.nbest(ids(spark, "a"), features, cfg)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert A.spans_and_null(features.limit(0), cfg).count() == 0
