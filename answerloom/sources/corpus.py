@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CORPUS_ENTRY, QA, QA_TEST, conform
+from .json_dict import read_dict
 
 
 def read_corpus(
@@ -19,9 +20,8 @@ def read_corpus(
     """Passages as ``(doc_id, text)``.
 
     ``parquet`` and ``jsonl`` split into many tasks and need an ``order`` column.
-    ``json_dict`` is one object ``{key: {"text": ...}}`` per file, which only one
-    task can read; entries are numbered by file and position. Split a large
-    collection into several files, or convert it once.
+    ``json_dict`` is one object ``{key: {"text": ...}}`` per file, of any size;
+    entries are numbered by file and position.
     """
     if fmt in ("parquet", "jsonl"):
         if order is None:
@@ -36,21 +36,13 @@ def read_corpus(
         return rows.select(F.col(order).cast("long").alias("doc_id"), F.col(text).alias("text"))
     if fmt != "json_dict":
         raise ValueError(f"unknown format {fmt!r}")
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), "value"
-    )
+    entries = read_dict(spark, path, CORPUS_ENTRY)
     # One short row per input file.
-    numbered = files.select("file").distinct().select(
+    numbered = entries.select("file").distinct().select(
         "file", (F.row_number().over(Window.orderBy("file")) - 1).cast("long").alias("file_no")
     )
-    entries = F.from_json("value", T.MapType(T.StringType(), CORPUS_ENTRY))
-    return (
-        files.join(numbered, "file")
-        .select("file_no", F.posexplode(entries).alias("pos", "key", "entry"))
-        .select(
-            F.shiftleft("file_no", 32).bitwiseOR(F.col("pos").cast("long")).alias("doc_id"),
-            F.col("entry.text").alias("text"),
-        )
+    return entries.join(numbered, "file").select(
+        F.shiftleft("file_no", 32).bitwiseOR("pos").alias("doc_id"), F.col("value.text").alias("text")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..schemas import NBEST_ENTRY
 from ..operators.ensemble import stack_nbest
+from .json_dict import read_dict
 
 SAVE_MODES = ("errorifexists", "overwrite")
 
@@ -55,7 +56,7 @@ def read_nbest(spark: SparkSession, paths: list[str], fmt: str = "jsonl") -> Dat
 
     The position in ``paths`` is the model number, from 1. ``jsonl`` reads what
     :func:`write_predictions` wrote; ``json_dict`` one object ``{id: [...]}`` per
-    file, which only one task can read.
+    file, of any size.
     """
     entry = T.ArrayType(NBEST_ENTRY)
 
@@ -66,12 +67,7 @@ def read_nbest(spark: SparkSession, paths: list[str], fmt: str = "jsonl") -> Dat
             )
             lists = spark.read.schema(schema).json(path)
         elif fmt == "json_dict":
-            whole = spark.read.text(path, wholetext=True)
-            lists = whole.select(
-                F.explode(F.from_json("value", T.MapType(T.StringType(), entry))).alias(
-                    "id", "nbest"
-                )
-            )
+            lists = read_dict(spark, path, entry).select(F.col("key").alias("id"), F.col("value").alias("nbest"))
         else:
             raise ValueError(f"unknown format {fmt!r}")
         return lists.select("id", F.posexplode("nbest").alias("pos", "e")).select(

@@ -463,6 +463,7 @@ hits AS (
 
 ORACLES: dict[str, str] = {
     "scan_corpus": "SELECT doc_id, text FROM documents",
+    "scan_corpus_dict": "SELECT doc_id, text FROM documents",
     "scan_qa": f"""WITH {WINDOWS},{QA_TABLE}
         SELECT split, id, question, document_id, title, answer_start, answer_text, n_chars
         FROM qa_table""",
@@ -472,6 +473,11 @@ ORACLES: dict[str, str] = {
         r AS ({NBEST_ROWS}) SELECT id::VARCHAR AS id, rank, text, probability FROM r""",
     "nbest_scan": f"""WITH {NBEST_LISTS}
         SELECT model, id::VARCHAR AS id, rank, text, probability FROM lists""",
+    "nbest_scan_dict": f"""WITH {NBEST_LISTS}
+        SELECT model, id::VARCHAR AS id, rank, text, probability FROM lists""",
+    "vote_file": f"""WITH {VOTES}
+        SELECT id::VARCHAR AS id, text AS prediction_text FROM votes
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(votes, 9) DESC, first) = 1""",
     "metrics_table": f"""WITH {WINDOWS},{ASKED},{_scored("runs")},
         per AS (SELECT pid, count(*) AS w FROM wins GROUP BY pid)
         SELECT 'eval_exact_match' AS metric, round(avg(em) * 100, 6) AS value FROM scored

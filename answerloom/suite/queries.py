@@ -29,9 +29,11 @@ from ..operators.passages import assign_passage_ids, corpus_stats, split_paragra
 from ..operators.tfidf_ivf import build_tfidf_ivf
 from ..plans import retrieval as P
 from ..plans.answering import answer
+from ..schemas import CORPUS_ENTRY
 from ..session import new_path
 from ..sources import corpus as SC
 from ..sources import index_store as SI
+from ..sources import json_dict as SD
 from ..sources import predictions as SP
 from . import fixtures as X
 
@@ -62,6 +64,14 @@ def scan_corpus(spark, sf):
     return X.corpus(spark, sf)
 
 
+def scan_corpus_dict(spark, sf):
+    rows = X.corpus(spark, sf).select(F.col("doc_id").cast("string").alias("key"), F.struct("text").alias("entry"))
+    path = new_path(spark, "corpus-dict")
+    SD.write_dict(rows, "key", "entry", path)
+    entries = SD.read_dict(spark, path, CORPUS_ENTRY)
+    return entries.select(F.col("key").cast("long").alias("doc_id"), "value.text")
+
+
 def scan_qa(spark, sf):
     table = X.qa_table(X.passages(spark, sf))
     paths = SC.write_qa(table, new_path(spark, "qa"), ("train", "validation"))
@@ -97,7 +107,7 @@ def nbest_json(spark, sf):
     return _rounded(stored, "probability").select("id", "rank", "text", "probability")
 
 
-def _stored_nbest(spark, sf):
+def _stored_nbest(spark, sf, fmt="jsonl"):
     folder = new_path(spark, "nbest")
     paths = []
     for number, rows in enumerate(X.nbest_lists(spark, sf), start=1):
@@ -107,14 +117,28 @@ def _stored_nbest(spark, sf):
         )
         nested = rows.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("predictions"))
         paths.append(f"{folder}/nbest_predictions_{number}")
-        SP.nested_nbest(nested).write.json(paths[-1])
-    return SP.read_nbest(spark, paths)
+        lists = SP.nested_nbest(nested)
+        if fmt == "jsonl":
+            lists.write.json(paths[-1])
+        else:
+            SD.write_dict(lists.withColumn("id", F.col("id").cast("string")), "id", "nbest", paths[-1])
+    return SP.read_nbest(spark, paths, fmt)
 
 
 def nbest_scan(spark, sf):
     return _stored_nbest(spark, sf)
 
 
+def nbest_scan_dict(spark, sf):
+    return _stored_nbest(spark, sf, "json_dict")
+
+
+def vote_file(spark, sf):
+    path = new_path(spark, "votes")
+    SP.write_ensemble(E.ensemble_pick(E.ensemble_votes(_stored_nbest(spark, sf))), path)
+    return spark.read.schema("id string, prediction_text string").json(path)
+
+
 def metrics_table(spark, sf):
     pairs = M.qa_pairs(*X.pred_ref(spark, sf))
     path = new_path(spark, "metrics")
@@ -562,11 +586,14 @@ def augment_union(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "scan_corpus": scan_corpus,
+    "scan_corpus_dict": scan_corpus_dict,
     "scan_qa": scan_qa,
     "index_roundtrip": index_roundtrip,
     "ivf_roundtrip": ivf_roundtrip,
     "nbest_json": nbest_json,
     "nbest_scan": nbest_scan,
+    "nbest_scan_dict": nbest_scan_dict,
+    "vote_file": vote_file,
     "metrics_table": metrics_table,
     "dedup_passages": dedup,
     "passage_ids": passage_ids,
