@@ -42,7 +42,7 @@ def read_corpus(
         "file", (F.row_number().over(Window.orderBy("file")) - 1).cast("long").alias("file_no")
     )
     return entries.join(numbered, "file").select(
-        F.shiftleft("file_no", 32).bitwiseOR("pos").alias("doc_id"), F.col("value.text").alias("text")
+        F.shiftleft("file_no", 32).bitwiseOR(F.col("pos")).alias("doc_id"), F.col("value.text").alias("text")
     )
 
 
