@@ -22,8 +22,14 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 FILE_POSTINGS = 4_000_000
 # Postings met by a question set from which a stored index is searched by block maxima.
 MANY_POSTINGS = 50_000_000
-# Bytes of vectors a single cell of a blocked vector search may hold on one side.
+# Bytes of query vectors that go to every task of a vector search, which holds their best rows.
+QUERY_BYTES = 4 * 1024 * 1024
+# Bytes and number of queries, with their best rows, that a cell of a blocked vector search may hold.
 CELL_BYTES = 32 * 1024 * 1024
+CELL_ROWS = 8192
+# Pairs compared in one cell, and cells that small query sets are cut into.
+CELL_PAIRS = 500_000_000
+FEW_CELLS = 16
 # Bytes of pivots that group vectors for such a search.
 PIVOT_BYTES = 16 * 1024 * 1024
 # Heaviest terms a center of clustered TF-IDF keeps, and rounds of its training.

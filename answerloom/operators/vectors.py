@@ -4,11 +4,15 @@ Distances are computed in tasks on Arrow batches with numpy. A task keeps the
 best ``k`` rows per query and hands on nothing else, so no table of all pairs
 ever exists.
 
-Query sets too large to broadcast meet the vectors group by group. A group holds
-the vectors nearest to one pivot, with its radius. A query first searches the
-group of its nearest pivot; its k-th score there then rules out, by the triangle
-inequality, every group that cannot hold anything better. The result is exact.
-Lists of any number are found the same way: their centroids are grouped.
+Query sets too large to send to every task are cut into cells of bounded size. A
+task holds one cell's queries with their best rows, and the vectors stream past.
+
+The vectors are then grouped too. A group holds the vectors nearest to one pivot,
+with its radius. A query first searches the group of its nearest pivot; its k-th
+score there then rules out, by the triangle inequality, every group that cannot
+hold anything better. A group goes to the cells with a query that needs it. The
+result is exact. Lists of any number are found the same way: their centroids are
+grouped.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -26,20 +32,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import BROADCAST_BYTES, CELL_BYTES, NUM_CLUSTERS, PIVOT_BYTES
+from ..config import BROADCAST_BYTES, CELL_BYTES, CELL_PAIRS, CELL_ROWS, FEW_CELLS, NUM_CLUSTERS, PIVOT_BYTES, QUERY_BYTES
 from ..session import stored
 from .ranking import top_k
 from .sizing import measured_bytes
 
 HIT_SCHEMA = "qid long, vec_id long, score double"
-# Query rows compared with one Arrow batch at a time; bounds the distance matrix.
-QUERY_ROWS = 512
+# Scores computed at a time; bounds the distance matrix.
+BLOCK = 1 << 20
+# Vectors of such a block.
+BLOCK_VECTORS = 2048
+_NO_ID = np.iinfo(np.int64).max
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+def _dense(column: pa.Array) -> np.ndarray:
+    """Rows of a list column as a matrix."""
+    sizes = pc.min_max(pc.list_value_length(column)).as_py()
+    if column.null_count or sizes["min"] != sizes["max"]:
+        raise ValueError("vectors must all be given and have one length")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), sizes["min"] or 0)
+
+
 Decode = Callable[[pd.Series], np.ndarray]
 
 
@@ -52,46 +70,91 @@ def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray
     return np.maximum(squares - 2 * products, 0.0)
 
 
+def _runs(*columns: np.ndarray) -> Iterator[slice]:
+    """Runs of equal rows of the columns."""
+    n = len(columns[0])
+    changes = np.zeros(max(n - 1, 0), bool)
+    for column in columns:
+        changes |= column[1:] != column[:-1]
+    bounds = [0, *(np.flatnonzero(changes) + 1), n]
+    for start, end in zip(bounds[:-1], bounds[1:]):
+        if end > start:
+            yield slice(int(start), int(end))
+
+
 class _BestK:
-    """Running best ``k`` (score, vec_id) rows per query."""
-
-    def __init__(self, k: int, metric: str):
-        self.k, self.metric = k, metric
-        self.kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def add(self, qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
-        for at in range(0, len(qids), QUERY_ROWS):
-            block = slice(at, at + QUERY_ROWS)
-            scores = _scores(vectors, queries[block], self.metric)
-            keys = np.round(-scores if self.metric == "ip" else scores, 9)
-            for row, qid in enumerate(qids[block]):
-                self._merge(int(qid), ids, scores[row], keys[row])
-
-    def _merge(self, qid: int, ids: np.ndarray, scores: np.ndarray, keys: np.ndarray):
-        if len(keys) > self.k:
-            worst_kept = np.partition(keys, self.k - 1)[self.k - 1]
-            near = keys <= worst_kept
-            ids, scores, keys = ids[near], scores[near], keys[near]
-        if qid in self.kept:
-            old_ids, old_scores, old_keys = self.kept[qid]
-            ids = np.concatenate([old_ids, ids])
-            scores = np.concatenate([old_scores, scores])
-            keys = np.concatenate([old_keys, keys])
-        order = np.lexsort((ids, keys))[: self.k]
-        self.kept[qid] = (ids[order], scores[order], keys[order])
-
-    def rows(self) -> pd.DataFrame:
-        sizes = [len(ids) for ids, _, _ in self.kept.values()]
-        empty = np.empty(0)
-        return pd.DataFrame(
-            {
-                "qid": np.repeat(np.array(list(self.kept), dtype=np.int64), sizes),
-                "vec_id": np.concatenate([empty, *[v[0] for v in self.kept.values()]]).astype(
-                    np.int64
-                ),
-                "score": np.concatenate([empty, *[v[1] for v in self.kept.values()]]),
-            }
-        )
+    """Running best ``k`` (score, vec_id) rows of each query row, in arrays of a fixed size.
+
+    ``keys`` are the scores to 9 digits, smaller is better. A row with ``worst``, a score that its
+    k-th row need not exceed, never takes rows beyond it.
+    """
+
+    def __init__(self, k: int, metric: str, qids: np.ndarray, queries: np.ndarray, worst: np.ndarray | None = None):
+        self.k, self.metric, self.qids, self.queries = k, metric, qids, queries
+        self.squares = (queries**2).sum(axis=1)
+        shape = (len(qids), k)
+        self.ids, self.scores = np.full(shape, _NO_ID), np.zeros(shape)
+        self.keys, self.counts = np.full(shape, np.inf), np.zeros(len(qids), np.int64)
+        self.limits = np.full(len(qids), np.inf)
+        if worst is not None:
+            given = np.round(-worst if metric == "ip" else worst, 9)
+            self.limits = np.where(np.isnan(worst), np.inf, given)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """Offer vectors to the query rows ``rows``, or to all."""
+        rows = np.arange(len(self.qids)) if rows is None else rows
+        for at in range(0, len(ids), BLOCK_VECTORS):
+            block = slice(at, at + BLOCK_VECTORS)
+            part, part_ids = vectors[block], ids[block]
+            squares = (part**2).sum(axis=1)
+            step = max(1, BLOCK // len(part_ids))
+            for first in range(0, len(rows), step):
+                self._offer(rows[first : first + step], part_ids, part, squares)
+
+    def _offer(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, squares: np.ndarray) -> None:
+        products = self.queries[rows] @ vectors.T
+        # In products less half the vector's square, larger is better for both metrics.
+        if self.metric == "ip":
+            worth, least = products, -self.limits[rows]
+            slack = 1e-8 * (1 + self.squares[rows] + squares.max())
+        else:
+            worth, least = products - squares / 2, (self.squares[rows] - self.limits[rows]) / 2
+            slack = 1e-8 * (1 + self.squares[rows] + squares.max())
+        open_rows = np.flatnonzero(np.isinf(least))
+        if len(open_rows) and len(ids) > self.k:
+            at = len(ids) - self.k
+            least[open_rows] = np.partition(worth[open_rows], at, axis=1)[:, at]
+        row, col = np.nonzero(worth >= (least - slack)[:, None])
+        if not len(row):
+            return
+        scores = products[row, col]
+        if self.metric == "l2":
+            scores = np.maximum(self.squares[rows[row]] + squares[col] - 2 * scores, 0.0)
+        keys = np.round(-scores if self.metric == "ip" else scores, 9)
+        good = keys <= self.limits[rows[row]]
+        self._merge(rows[row[good]], ids[col[good]], scores[good], keys[good])
+
+    def _merge(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
+        """Candidates of ascending ``rows``."""
+        if not len(rows):
+            return
+        changed, more = np.unique(rows, return_counts=True)
+        rows = np.concatenate([np.repeat(changed, self.k), rows])
+        ids = np.concatenate([self.ids[changed].ravel(), ids])
+        scores = np.concatenate([self.scores[changed].ravel(), scores])
+        keys = np.concatenate([self.keys[changed].ravel(), keys])
+        order = np.lexsort((ids, keys, rows))
+        ends = np.cumsum(more + self.k)
+        kept = order[((ends - more - self.k)[:, None] + np.arange(self.k)).ravel()]
+        shape = (len(changed), self.k)
+        self.ids[changed], self.scores[changed] = ids[kept].reshape(shape), scores[kept].reshape(shape)
+        self.keys[changed] = keys[kept].reshape(shape)
+        self.counts[changed] = np.minimum(self.counts[changed] + more, self.k)
+        self.limits[changed] = np.minimum(self.limits[changed], self.keys[changed, -1])
+
+    def rows(self) -> dict[str, np.ndarray]:
+        filled = np.arange(self.k) < self.counts[:, None]
+        return {"qid": np.repeat(self.qids, self.counts), "vec_id": self.ids[filled], "score": self.scores[filled]}
 
 
 def _best(hits: DataFrame, k: int, metric: str) -> DataFrame:
@@ -103,12 +166,16 @@ def _row_bytes(vec: str = "vec"):
     return (F.size(vec) * 8 + 32).cast("long")
 
 
-def _cell_rows(probes: DataFrame, cell_rows: int | None) -> int:
-    """Rows of a cell's side: as many as given, or as fit ``CELL_BYTES``."""
+def _cell_rows(probes: DataFrame, k: int, cell_rows: int | None) -> int:
+    """Queries of a cell: as many as given, or as let ``FEW_CELLS`` share the work within ``CELL_ROWS``.
+
+    Their values and best rows take ``CELL_BYTES`` at most.
+    """
     if cell_rows is not None:
         return cell_rows
-    widest = probes.agg(F.max(_row_bytes())).first()[0] or 1
-    return max(1, CELL_BYTES // widest)
+    count, widest = probes.agg(F.count("*"), F.max(_row_bytes())).first()
+    fitting = CELL_BYTES // ((widest or 1) + 24 * k)
+    return max(1, min(fitting, CELL_ROWS, max(-(-count // FEW_CELLS), CELL_ROWS // FEW_CELLS)))
 
 
 def _search(
@@ -121,7 +188,7 @@ def _search(
     """
     if measured_bytes(probes, _row_bytes()) <= limit:
         return _best(_search_in_place(vectors, probes, k, "l2", decode), k, "l2")
-    return _best(_search_in_cells(vectors, probes, k, "l2", _cell_rows(probes, cell_rows), decode), k, "l2")
+    return _best(_search_in_cells(vectors, probes, k, "l2", _cell_rows(probes, k, cell_rows), decode), k, "l2")
 
 
 def _search_in_place(
@@ -135,13 +202,15 @@ def _search_in_place(
     shared = vectors.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = _BestK(k, metric)
+        best: dict[int, _BestK] = {}
         for batch in batches:
             for cluster, rows in batch.groupby("cluster"):
                 if cluster in shared.value:
-                    qids, queries = shared.value[cluster]
-                    best.add(qids, queries, rows["vec_id"].to_numpy(), decode(rows["vec"]))
-        yield best.rows()
+                    if cluster not in best:
+                        best[cluster] = _BestK(k, metric, *shared.value[cluster])
+                    best[cluster].add(rows["vec_id"].to_numpy(), decode(rows["vec"]))
+        for found in best.values():
+            yield pd.DataFrame(found.rows())
 
     # Lists stored in folders by cluster are only read where probed.
     reached = vectors.select("cluster", "vec_id", "vec").where(
@@ -153,44 +222,96 @@ def _search_in_place(
 def _search_in_cells(
     vectors: DataFrame, probes: DataFrame, k: int, metric: str, cell_rows: int, decode: Decode = _matrix
 ) -> DataFrame:
-    """Pair up slices of a cluster's vectors with slices of its queries.
+    """Pair up slices of a cluster's queries with its vectors.
 
-    A cluster is sliced by its measured row counts on both sides, so a cluster
-    holding a third of all vectors becomes many cells of at most about
-    ``cell_rows`` x ``cell_rows``.
+    A cluster is sliced by its measured row counts on both sides, so a cluster holding a
+    third of all vectors becomes many cells of about ``cell_rows`` queries and as many
+    vectors as make ``CELL_PAIRS`` with them.
     """
-
-    def slices(df: DataFrame, name: str) -> DataFrame:
-        n = F.ceil(F.count("*") / cell_rows).cast("int")
-        return df.groupBy("cluster").agg(n.alias(name))
-
+    counts = vectors.groupBy("cluster").agg(F.count("*").alias("v")).join(
+        probes.groupBy("cluster").agg(F.count("*").alias("q")), "cluster")
     # One row per cluster.
-    counts = F.broadcast(slices(vectors, "n_v").join(slices(probes, "n_q"), "cluster"))
+    counts = F.broadcast(counts.select(
+        "cluster",
+        F.ceil(F.col("q") / cell_rows).cast("int").alias("n_q"),
+        F.ceil(F.col("v") * F.least("q", F.lit(cell_rows)) / CELL_PAIRS).cast("int").alias("n_v"),
+    ))
 
-    def cells(df: DataFrame, key: str, own: str, other: str):
+    def sliced(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         slice_no = F.pmod(F.xxhash64(key), F.col(f"n_{own}")).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1))
-        cell = ["cluster", "slice_v", "slice_q"]
-        rows = (
-            df.join(counts, "cluster")
-            .withColumn(f"slice_{own}", slice_no)
-            .withColumn(f"slice_{other}", copies)
-        )
-        # New names keep the sides apart when queries are rows of the vectors.
-        renamed = rows.select(*[F.col(c).alias(f"{own}_{c}") for c in (*cell, key, "vec")])
-        return renamed.groupBy(*[f"{own}_{c}" for c in cell])
-
-    def run(vecs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        best = _BestK(k, metric)
-        if len(vecs) and len(queries):
-            best.add(
-                queries["q_qid"].to_numpy(), _matrix(queries["q_vec"]),
-                vecs["v_vec_id"].to_numpy(), decode(vecs["v_vec"]),
-            )
-        return best.rows()
-
-    left = cells(vectors, "vec_id", "v", "q")
-    return left.cogroup(cells(probes, "qid", "q", "v")).applyInPandas(run, HIT_SCHEMA)
+        rows = df.join(counts, "cluster").withColumn(f"slice_{own}", slice_no).withColumn(f"slice_{other}", copies)
+        return rows.select(F.col("cluster").alias("area"), "slice_q", "slice_v", "cluster", key, "vec")
+
+    asked = sliced(probes, "qid", "q", "v").withColumn("worst", F.lit(None).cast("double"))
+    return _stream(sliced(vectors, "vec_id", "v", "q"), asked, k, metric, decode)
+
+
+def _stream(
+    vectors: DataFrame, probes: DataFrame, k: int, metric: str, decode: Decode = _matrix,
+    shared: Broadcast | None = None,
+) -> DataFrame:
+    """Best ``k`` of each cell ``(area, slice_q, slice_v)``.
+
+    ``vectors(*cell, cluster, vec_id, vec)`` and ``probes(*cell, cluster, qid, vec, worst)``. A task
+    sorts its cells so that the queries come first, and holds only the queries of one cell. With
+    ``shared`` pivots and radii, a query is spared the groups that it can rule out, and its own.
+    """
+    spark, cell = vectors.sparkSession, ["area", "slice_q", "slice_v"]
+    coded = vectors.schema["vec"].dataType == T.BinaryType()
+    kind = probes.schema["vec"].dataType
+    if not coded and vectors.schema["vec"].dataType != kind:
+        kind = T.ArrayType(T.DoubleType())
+    empty = F.lit(None).cast(T.BinaryType())
+    asked = probes.select(
+        *cell, F.lit(0).alias("side"), F.col("cluster").cast("long"), F.col("qid").cast("long").alias("key"), "worst",
+        F.col("vec").cast(kind), empty.alias("codes"),
+    )
+    offered = vectors.select(
+        *cell, F.lit(1).alias("side"), F.col("cluster").cast("long"), F.col("vec_id").cast("long").alias("key"),
+        F.lit(None).cast("double").alias("worst"),
+        (F.lit(None) if coded else F.col("vec")).cast(kind).alias("vec"), (F.col("vec") if coded else empty).alias("codes"),
+    )
+    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*cell, "side", "cluster"]
+    rows = asked.unionByName(offered).repartition(cells, *cell).sortWithinPartitions(*order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, waiting, own, best = None, [], None, None
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if best is not None:
+                yield pa.RecordBatch.from_pydict(best.rows())
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in [*order, "key", "worst"]}
+            for at in _runs(*[columns[n] for n in order]):
+                here = tuple(columns[n][at.start] for n in cell)
+                if here != place:
+                    yield from found()
+                    place, waiting, best = here, [], None
+                part = batch.slice(at.start, at.stop - at.start)
+                if columns["side"][at.start] == 0:
+                    waiting.append((columns["key"][at], _dense(part.column("vec")), columns["worst"][at].astype(np.float64), columns["cluster"][at]))
+                    continue
+                if waiting:
+                    qids, queries, worst, own = (np.concatenate(c) for c in zip(*waiting))
+                    best, waiting = _BestK(k, metric, qids, queries, worst), []
+                if best is None:
+                    continue
+                cluster, needy = columns["cluster"][at.start], None
+                if shared is not None:
+                    pivots, radius = shared.value
+                    signs = -best.limits if metric == "ip" else best.limits
+                    needy = _may_hold(best.queries, signs[:, None], pivots[[cluster]], radius[[cluster]], metric)[:, 0]
+                    needy = np.flatnonzero(needy & (own != cluster))
+                values = decode(part.column("codes").to_pylist()) if coded else _dense(part.column("vec"))
+                best.add(columns["key"][at], values, needy)
+        yield from found()
+
+    return rows.mapInArrow(run, HIT_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -201,6 +322,14 @@ class _Groups:
     shared: Broadcast
 
 
+def _near_together(pivots: np.ndarray) -> np.ndarray:
+    """The pivots, those next to the same one of the first few in a row."""
+    few = pivots[: math.isqrt(len(pivots)) or 1]
+    if not len(few):
+        return pivots
+    return pivots[np.argsort(_scores(few, pivots, "l2").argmin(axis=1), kind="stable")]
+
+
 def _group(vectors: DataFrame) -> _Groups:
     """Group vectors around pivots: as many as the root of their number, at most ``PIVOT_BYTES``.
 
@@ -210,14 +339,13 @@ def _group(vectors: DataFrame) -> _Groups:
     count, width = vectors.agg(F.count("*"), F.max(F.size("vec"))).first()
     n = min(math.isqrt(max(count - 1, 0)) + 1, max(1, PIVOT_BYTES // (8 * (width or 1))))
     chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).toPandas()
-    pivots = _matrix(chosen["vec"]) if len(chosen) else np.zeros((0, width or 0))
+    pivots = _near_together(_matrix(chosen["vec"])) if len(chosen) else np.zeros((0, width or 0))
     sent = spark.sparkContext.broadcast(pivots)
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                squares = _scores(_matrix(batch["vec"]), sent.value, "l2")
-                yield batch.assign(cluster=squares.argmin(axis=0), far=np.sqrt(squares.min(axis=0)))
+        for batch in _pieces(batches, len(sent.value)):
+            squares = _scores(sent.value, _matrix(batch["vec"]), "l2")
+            yield batch.assign(cluster=squares.argmin(axis=1), far=np.sqrt(squares.min(axis=1)))
 
     kind = vectors.select("vec_id", "vec", F.lit(0).alias("cluster"), F.lit(0.0).alias("far")).schema
     grouped = stored(vectors.select("vec_id", "vec").mapInPandas(near, kind), "groups")
@@ -228,19 +356,41 @@ def _group(vectors: DataFrame) -> _Groups:
     return _Groups(grouped.select("cluster", "vec_id", "vec"), spark.sparkContext.broadcast((pivots, radius)))
 
 
-def _reach(groups: _Groups, queries: DataFrame, metric: str, first: bool) -> DataFrame:
-    """Probes ``(cluster, qid, vec)``: of each query's first group, or of all others it must search.
+def _pieces(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """Batches cut so that a row of ``width`` scores each makes at most ``BLOCK``."""
+    step = max(1, BLOCK // max(1, width))
+    for batch in batches:
+        for at in range(0, len(batch), step):
+            yield batch.iloc[at : at + step]
+
+
+def _may_hold(queries: np.ndarray, worst: np.ndarray, pivots: np.ndarray, radius: np.ndarray, metric: str) -> np.ndarray:
+    """Queries x groups: whether a group may hold a score as good as ``worst`` (queries x 1; not a number: any)."""
+    scores = _scores(pivots, queries, metric)
+    slack = 1e-6 * (1 + np.abs(worst))
+    with np.errstate(invalid="ignore"):
+        if metric == "l2":
+            # No vector of a group is nearer than the pivot less the radius.
+            least = np.maximum(np.sqrt(scores) - radius, 0) ** 2
+            return ~(least > worst + slack)
+        # A product exceeds the pivot's by the query's length times the radius at most.
+        most = scores + np.linalg.norm(queries, axis=1)[:, None] * radius
+        return ~(most < worst - slack)
 
-    The others need ``worst``, the k-th score so far (null: fewer than k).
+
+def _reach(groups: _Groups, queries: DataFrame, metric: str, first: bool, by: str = "qid") -> DataFrame:
+    """Probes ``(cluster, qid, vec)`` of each query's first group, or ``(cluster, by)`` of all others it must search.
+
+    The others need ``worst``, the k-th score so far (null: fewer than k). Equal ones may repeat.
     """
     shared = groups.shared
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivots, radius = shared.value
         there = radius >= 0
-        for batch in batches:
-            if not len(batch) or not there.any():
-                continue
+        if not there.any():
+            return
+        for batch in _pieces(batches, len(pivots)):
             queries = _matrix(batch["vec"])
             scores = _scores(pivots, queries, metric)
             nearest = np.where(there, scores if metric == "l2" else -scores, np.inf).argmin(axis=1)
@@ -248,36 +398,51 @@ def _reach(groups: _Groups, queries: DataFrame, metric: str, first: bool) -> Dat
                 yield pd.DataFrame({"cluster": nearest, "qid": batch["qid"], "vec": batch["vec"]})
                 continue
             worst = batch["worst"].to_numpy(dtype=np.float64)[:, None]
-            slack = 1e-6 * (1 + np.abs(worst))
-            if metric == "l2":
-                # No vector of a group is nearer than the pivot less the radius.
-                least = np.maximum(np.sqrt(scores) - radius, 0) ** 2
-                may = ~(least > worst + slack)
-            else:
-                # A product exceeds the pivot's by the query's length times the radius at most.
-                most = scores + np.linalg.norm(queries, axis=1)[:, None] * radius
-                may = ~(most < worst - slack)
-            may &= there
+            may = _may_hold(queries, worst, pivots, radius, metric) & there
             may[np.arange(len(nearest)), nearest] = False
-            rows, cluster = np.nonzero(may)
-            picked = batch.iloc[rows]
-            yield pd.DataFrame({"cluster": cluster, "qid": picked["qid"].to_numpy(), "vec": picked["vec"].to_numpy()})
+            for value, rows in batch.reset_index(drop=True).groupby(by, sort=False).groups.items():
+                cluster = np.flatnonzero(may[rows].any(axis=0))
+                yield pd.DataFrame({"cluster": cluster, by: np.full(len(cluster), value)})
 
-    kind = queries.select(F.lit(0).alias("cluster"), "qid", "vec").schema
+    kind = queries.select(F.lit(0).alias("cluster"), *(["qid", "vec"] if first else [by])).schema
     return queries.mapInPandas(run, kind)
 
 
+def _slices(own: DataFrame, rows: int) -> DataFrame:
+    """``(cluster, first, n)``: the ``n`` slices from ``first`` for the queries of a group, of ``rows`` each or so.
+
+    Groups in a row share a slice while they fit.
+    """
+    table, slice_no, used = [], 0, 0
+    # One row per pivot.
+    for cluster, count in sorted(own.groupBy("cluster").agg(F.count("*")).collect()):
+        if used and used + count > rows:
+            slice_no, used = slice_no + 1, 0
+        n = -(-count // rows)
+        table.append((cluster, slice_no, n))
+        slice_no, used = (slice_no + n, 0) if n > 1 else (slice_no, used + count)
+    return own.sparkSession.createDataFrame(table, "cluster int, first int, n int")
+
+
 def _search_by_pivots(
     vectors: DataFrame, queries: DataFrame, k: int, metric: str, cell_rows: int | None
 ) -> DataFrame:
     """Exact nearest ``k`` of ``vectors(vec_id, vec)`` for many ``queries(qid, vec)``."""
-    rows = _cell_rows(queries, cell_rows)
+    rows = _cell_rows(queries, k, cell_rows)
     groups = _group(vectors)
-    near = _search_in_cells(groups.vectors, _reach(groups, queries, metric, True), k, metric, rows)
-    near = stored(_best(near, k, metric), "near")
+    own = stored(_reach(groups, queries, metric, True), "own")
+    near = stored(_best(_search_in_cells(groups.vectors, own, k, metric, rows), k, metric), "near")
     worst = near.where(F.col("rank") == k).select("qid", F.col("score").alias("worst"))
-    others = stored(_reach(groups, queries.join(worst, "qid", "left"), metric, False), "probes")
-    far = _search_in_cells(groups.vectors, others, k, metric, rows)
+    slice_q = (F.col("first") + F.pmod(F.xxhash64("qid"), F.col("n"))).cast("int")
+    asked = own.join(F.broadcast(_slices(own, rows)), "cluster").withColumn("slice_q", slice_q)
+    asked = stored(asked.join(worst, "qid", "left").select("cluster", "qid", "vec", "slice_q", "worst"), "asked")
+    needed = stored(_reach(groups, asked, metric, False, "slice_q").distinct(), "needed")
+    n_v = -(-groups.vectors.count() * rows // CELL_PAIRS) or 1
+    area, slice_v = F.lit(0).alias("area"), F.pmod(F.xxhash64("cluster"), F.lit(n_v)).cast("int")
+    offered = groups.vectors.join(needed, "cluster").select(area, "slice_q", slice_v.alias("slice_v"), "cluster", "vec_id", "vec")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(n_v - 1))).alias("slice_v")
+    asked = asked.select(area, "slice_q", copies, "cluster", "qid", "vec", "worst")
+    far = _stream(offered, asked, k, metric, shared=groups.shared)
     return _best(near.drop("rank").unionByName(far), k, metric)
 
 
@@ -286,7 +451,7 @@ def vector_topk(
     queries: DataFrame,
     k: int,
     metric: str = "l2",
-    limit: int = BROADCAST_BYTES,
+    limit: int = QUERY_BYTES,
     cell_rows: int | None = None,
 ) -> DataFrame:
     """Nearest ``k`` of ``vectors(vec_id, vec)`` for every row of ``queries(qid, vec)``.
@@ -343,8 +508,12 @@ def nearest_clusters(
             if len(vecs) == 0:
                 yield pd.Series([], dtype=object)
                 continue
-            keys = np.round(_scores(shared.value, _matrix(vecs), "l2"), 9)
-            yield pd.Series(list(numbers[np.argsort(keys, axis=1, kind="stable")[:, :n]]))
+            values, found = _matrix(vecs), []
+            step = max(1, BLOCK // max(1, len(numbers)))
+            for at in range(0, len(values), step):
+                keys = np.round(_scores(shared.value, values[at : at + step], "l2"), 9)
+                found.extend(numbers[np.argsort(keys, axis=1, kind="stable")[:, :n]])
+            yield pd.Series(found)
 
     nearest.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return df.withColumn("clusters", F.pandas_udf(nearest, "array<int>")(F.col("vec")))
@@ -440,14 +609,15 @@ def ivf_topk(
     probes = nearest_clusters(queries, index.centroids, nprobe, limit).select(
         F.explode("clusters").alias("cluster"), "qid", "vec"
     )
+    limit = min(limit, QUERY_BYTES)
     if index.codes is None:
         return _search(index.vectors, probes, k, limit, cell_rows)
     lists = index.codes.withColumnRenamed("codes", "vec")
     near = _search(lists, probes, refine * k, limit, cell_rows, _decoder(index.bounds, index.bits))
-    exact = index.vectors.select("vec_id", F.col("vec").cast("array<double>").alias("v"))
-    pairs = near.select("qid", "vec_id").join(exact, "vec_id").join(
-        queries.select("qid", F.col("vec").cast("array<double>").alias("q")), "qid")
-    square = F.aggregate(F.zip_with("q", "v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+    exact = index.vectors.select("vec_id", F.col("vec").alias("v"))
+    pairs = near.select("qid", "vec_id").join(exact, "vec_id").join(queries.select("qid", F.col("vec").alias("q")), "qid")
+    q, v = (F.col(name).cast("array<double>") for name in ("q", "v"))
+    square = F.aggregate(F.zip_with(q, v, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
     return _best(pairs.select("qid", "vec_id", square.alias("score")), k, "l2")
 
 

@@ -157,3 +157,29 @@ def test_lists_of_codes_give_nearly_exact_distances(vectors, queries):
     both = exact.join(coded.withColumnRenamed("score", "near"), ["qid", "vec_id"])
     assert both.count() == exact.count()
     assert both.agg(F.max(F.abs(F.col("score") - F.col("near")))).first()[0] < 0.5
+
+
+def test_groups_go_to_slices_not_to_queries(spark):
+    """Where nothing can be ruled out, a group is asked for once per slice, not once per query."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 16)))], "vec_id long, vec array<double>")
+    queries = df.select(F.col("vec_id").alias("qid"), "vec")
+    groups = V._group(df)
+    own = V._reach(groups, queries, "l2", True)
+    counts = V._slices(own, 50).collect()
+    assert max(r["first"] + r["n"] for r in counts) <= 2 * -(-400 // 50) + 1
+    asked = queries.withColumns({"slice_q": (F.col("qid") % 8).cast("int"), "worst": F.lit(None).cast("double")})
+    needed = V._reach(groups, asked, "l2", False, "slice_q").distinct().count()
+    assert needed <= 8 * len(groups.shared.value[0])
+
+
+def test_best_rows_take_a_fixed_size():
+    """Any number of offered vectors leaves ``k`` per query; equal keys go by id, repeated ones stay."""
+    rng = np.random.default_rng(9)
+    vecs = np.round(rng.normal(size=(5000, 4)), 1)
+    best = V._BestK(3, "ip", np.arange(40), vecs[:40])
+    for at in range(0, 5000, 700):
+        best.add(np.arange(at, min(at + 700, 5000))[::-1], vecs[at : at + 700][::-1])
+    assert best.ids.nbytes + best.scores.nbytes + best.keys.nbytes == 40 * 3 * 24
+    keys = np.round(-(vecs[:40] @ vecs.T), 9)
+    assert best.ids.tolist() == [np.lexsort((np.arange(5000), k))[:3].tolist() for k in keys]
