@@ -338,3 +338,14 @@ def test_no_query_forms_all_pairs(passages, queries):
                   retrieve(index, passages, queries, 2)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_written_index_is_read_from_files(spark):
+    """The vocabulary and postings are written once; later jobs scan them and count no texts."""
+    passages = spark.createDataFrame([(1, "red fox"), (2, "red hen red"), (3, "blue sea")], "pid long, text string")
+    index = fit_tfidf(passages, write=True)
+    for df in (index.vocab, index.postings):
+        assert len(df.inputFiles()) > 0
+    plain = fit_tfidf(passages)
+    rows = [sorted((r["pid"], r["term"], round(r["weight"], 9)) for r in i.postings.collect()) for i in (index, plain)]
+    assert rows[0] == rows[1] and rows[0]
