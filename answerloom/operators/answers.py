@@ -9,8 +9,12 @@ spans, so that the windows are still read once.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from ..config import AnswerConfig
 from ..functions.arrays import let, places
@@ -79,8 +83,11 @@ def top_positions(features: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _window_spans(features: DataFrame, cfg: AnswerConfig) -> Column:
-    """All allowed spans of a window row, with where and in which order they were formed."""
+def _window_spans(features: DataFrame, cfg: AnswerConfig, most: int | None = None) -> Column:
+    """Allowed spans of a window row, with where and in which order they were formed.
+
+    With ``most`` only the best, in their order; the combinations of many windows are formed at once.
+    """
     offsets = F.col("offsets")
 
     def inside(top: Column, marked: Column | None) -> Column:
@@ -99,28 +106,76 @@ def _window_spans(features: DataFrame, cfg: AnswerConfig) -> Column:
 
         return F.filter(placed, allowed)
 
-    def span(s: Column, e: Column) -> Column:
-        return F.struct(
-            (-(s["logit"] + e["logit"])).alias("minus"),
-            s["rank"].alias("start_rank"), e["rank"].alias("end_rank"),
-            s["place"].alias("start_place"), e["place"].alias("end_place"),
-            s["off"]["start"].alias("start_char"), e["off"]["end"].alias("end_char"),
-            s["logit"].alias("start_logit"), e["logit"].alias("end_logit"),
-        )
+    checked = F.col("max_context") if "max_context" in features.columns else None
 
-    def pairs(ends: Column) -> Column:
-        def from_start(s: Column) -> Column:
-            near = F.filter(
-                ends,
-                lambda e: (e["place"] >= s["place"])
-                & (e["place"] < s["place"] + cfg.max_answer_length),
-            )
-            return F.transform(near, lambda e: span(s, e))
+    def formed(starts: pa.Array, ends: pa.Array) -> pa.Array:
+        return _formed_spans(starts, ends, cfg.max_answer_length, most)
 
-        return F.flatten(F.transform(inside(F.col("start_top"), checked), from_start))
+    return F.arrow_udf(formed, from_arrow_type(SPANS))(inside(F.col("start_top"), checked), inside(F.col("end_top"), None))
+
+
+# Windows whose start x end combinations are formed at once in a task.
+PAIRED_WINDOWS = 1000
+SPAN_FIELDS = [
+    ("minus", pa.float64()), ("start_rank", pa.int32()), ("end_rank", pa.int32()),
+    ("start_place", pa.int32()), ("end_place", pa.int32()), ("start_char", pa.int32()),
+    ("end_char", pa.int32()), ("start_logit", pa.float64()), ("end_logit", pa.float64()),
+]
+SPANS = pa.list_(pa.struct(SPAN_FIELDS))
 
-    checked = F.col("max_context") if "max_context" in features.columns else None
-    return let(inside(F.col("end_top"), None), pairs)
+
+def _formed_spans(starts: pa.Array, ends: pa.Array, longest: int, most: int | None) -> pa.Array:
+    """Allowed pairs of each window's start and end positions; the ``most`` best, best first, if given.
+
+    Without ``most`` they come by start, then end. A window without a list of
+    positions has no list of spans either.
+    """
+    pieces = [
+        _spans_of_piece(starts.slice(at, PAIRED_WINDOWS), ends.slice(at, PAIRED_WINDOWS), longest, most)
+        for at in range(0, len(starts), PAIRED_WINDOWS)
+    ]
+    return pa.concat_arrays(pieces) if pieces else pa.array([], SPANS)
+
+
+def _spans_of_piece(starts: pa.Array, ends: pa.Array, longest: int, most: int | None) -> pa.Array:
+    n_start, n_end = (pc.list_value_length(a).fill_null(0).to_numpy() for a in (starts, ends))
+    s, e = starts.flatten(), ends.flatten()
+
+    def numbers(entries: pa.Array, *path: str) -> np.ndarray:
+        return pc.struct_field(entries, list(path)).to_numpy(zero_copy_only=False)
+
+    # Every start meets every end of its window, by start, then end.
+    of_start = np.repeat(np.arange(len(n_start)), n_start)
+    per_start = n_end[of_start]
+    left = np.repeat(np.arange(len(s)), per_start)
+    first_pair = np.cumsum(per_start) - per_start
+    first_end = np.cumsum(n_end) - n_end
+    right = np.arange(len(left)) - first_pair[left] + first_end[of_start[left]]
+    start_place, end_place = numbers(s, "place"), numbers(e, "place")
+    ahead = end_place[right] - start_place[left]
+    near = (ahead >= 0) & (ahead < longest)
+    left, right = left[near], right[near]
+    start_logit, end_logit = numbers(s, "logit"), numbers(e, "logit")
+    minus, window = -(start_logit[left] + end_logit[right]), of_start[left]
+    if most is not None:
+        # A stable sort: equal scores keep the order of start and end.
+        order = np.lexsort((minus, window))
+        window = window[order]
+        first = np.searchsorted(window, window)
+        kept = np.arange(len(window)) - first < most
+        order, window = order[kept], window[kept]
+        minus, left, right = minus[order], left[order], right[order]
+    columns = [
+        minus, numbers(s, "rank")[left], numbers(e, "rank")[right], start_place[left], end_place[right],
+        numbers(s, "off", "start")[left], numbers(e, "off", "end")[right], start_logit[left], end_logit[right],
+    ]
+    fields = list(SPANS.value_type)
+    rows = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
+    unknown = starts.is_null().to_numpy(zero_copy_only=False) | (
+        ends.is_null().to_numpy(zero_copy_only=False) & (n_start > 0)
+    )
+    firsts = np.searchsorted(window, np.arange(len(n_start) + 1))
+    return pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), rows, mask=pa.array(unknown))
 
 
 def candidate_spans(
@@ -132,9 +187,7 @@ def candidate_spans(
     and, when a ``max_context`` array is given, starts it does not mark. With
     ``most`` only the best spans of each window become rows.
     """
-    spans = _window_spans(features, cfg)
-    if most is not None:
-        spans = F.slice(F.sort_array(spans), 1, most)
+    spans = _window_spans(features, cfg, most)
     # The outer form: the plain one adds a filter on the array's size, which is
     # pushed down and builds the array a second time.
     rows = (
@@ -189,7 +242,7 @@ def spans_and_null(features: DataFrame, cfg: AnswerConfig = AnswerConfig()) -> D
         of_null = F.struct(F.lit(True).alias("is_null"), no_span.alias("p"), null.alias("null"))
         return F.concat(of_spans, F.array(of_null))
 
-    spans = F.slice(F.sort_array(_window_spans(features, cfg)), 1, cfg.n_best_size)
+    spans = _window_spans(features, cfg, cfg.n_best_size)
     rows = (
         top_positions(features, cfg.n_best_size)
         .select("example_id", "window_no", "text_start", "window_text", F.explode(let(spans, entries)).alias("c"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReaderConfig
-from ..functions.text import token_ids, token_offsets, words_with_gaps
+from ..functions.text import token_ids, token_offsets
 
 
 def resolve_roles(df: DataFrame, with_answers: bool = False) -> DataFrame:
@@ -22,8 +22,7 @@ def encode(df: DataFrame, cfg: ReaderConfig) -> DataFrame:
     """Add ids and character spans of question (``q_*``) and context (``c_*``) words."""
 
     def ids(name: str) -> Column:
-        words, _ = words_with_gaps(F.col(name))
-        return token_ids(words, cfg.vocab_size, cfg.n_special)
+        return token_ids(F.col(name), cfg.vocab_size, cfg.n_special)
 
     return df.withColumns(
         {

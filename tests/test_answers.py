@@ -178,3 +178,21 @@ def test_spans_and_null_in_one_pass(spark, random_windows):
     plan = A.nbest(ids(spark, "a"), features, cfg)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 1
     assert A.spans_and_null(features.limit(0), cfg).count() == 0
+
+
+def test_spans_of_windows_with_missing_logits(spark):
+    """Pairs of many windows are formed at once; missing lists and values stay with their window."""
+    rows = [
+        window("a", 0, 0, 2, [0.0, 0.0, 1.0, 2.0], [0.0, 0.0, 1.0, 1.0]),
+        window("b", 0, 0, 2, None, [0.0, 0.0, 1.0, 1.0]),
+        window("c", 0, 0, 2, [0.0, 0.0, 1.0, 2.0], None),
+        window("d", 0, 0, 2, [None] * 4, [None] * 4),
+        window("e", 0, 0, 0, [1.0, 1.0], [1.0, 1.0]),
+        window("f", 0, 0, 1, [0.0, 0.0, float("nan")], [0.0, 0.0, 1.0]),
+    ]
+    spans = A.candidate_spans(frame(spark, rows))
+    got = [(r["example_id"], r["start_place"], r["end_place"]) for r in spans.collect()]
+    assert got == [("a", 3, 3), ("a", 2, 2), ("a", 2, 3), ("f", 2, 2)]
+    best = [(r["example_id"], r["rank"], r["score"]) for r in A.best_spans(frame(spark, rows[:5])).collect()]
+    assert sorted(best) == [("a", 1, 3.0), ("a", 2, 2.0), ("a", 3, 2.0)]
+    assert "ArrowEvalPython" in spans._jdf.queryExecution().executedPlan().toString()

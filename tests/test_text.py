@@ -1,15 +1,21 @@
+import hashlib
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from answerloom.functions.arrays import prefix_sum, run_lengths
 from answerloom.functions.text import (
+    _hashed_words,
+    _spans,
     clean_text,
     ngrams,
     normalize_answer,
     term_counts,
+    text_pieces,
+    token_ids,
     token_offsets,
     tokenize,
     tokenizer_udf,
@@ -34,6 +40,26 @@ def test_offsets_equal_plain_python(texts):
         assert all(row["text"][o["start"] : o["end"]].strip() for o in row["o"])
 
 
+def test_words_of_many_texts_at_once():
+    """Spans and ids found on the bytes of a batch, also of nulls, odd blanks and runs cut between rows."""
+    rows = [None, *TEXTS, None, "a\u00a0b\x1cc \x0bd", "\u3000x", " ", "last"] * 3
+    for texts in (pa.array(rows), pa.array(rows).slice(2, 7), pa.array([None, "a b", None]), pa.array([], pa.string())):
+        want = [None if t is None else list(re.finditer(r"[^ \t-\r]+", t)) for t in texts.to_pylist()]
+        spans = [w and [{"start": m.start(), "end": m.end()} for m in w] for w in want]
+        ids = [w and [int(hashlib.md5(m.group().encode()).hexdigest()[:7], 16) % 97 + 3 for m in w] for w in want]
+        assert _spans(texts).to_pylist() == spans
+        assert _hashed_words(texts, 100, 3).to_pylist() == ids
+    pieces = list(text_pieces(pa.array(["ab", "", "cdef", "g", "x" * 9]), most=4))
+    assert [(bytes(d), list(b)) for d, b in pieces] == [
+        (b"ab", [0, 2, 2]), (b"cdef", [0, 4]), (b"g", [0, 1]), (b"x" * 9, [0, 9])
+    ]
+
+
+def test_spans_and_ids_are_not_interpreted_word_by_word(texts):
+    plan = texts.select(token_offsets(F.col("text")), token_ids(F.col("text"), 100, 3))._jdf.queryExecution().toString()
+    assert "lambda" not in plan and "ArrowEvalPython" in plan
+
+
 def test_ngrams_up_to_three(texts):
     got = texts.select("text", ngrams(tokenize(F.col("text")), 1, 3).alias("g")).collect()
     for row in got:
