@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.arrays import prefix_sum, run_lengths
 from answerloom.functions.text import (
-    _hashed_words,
-    _spans,
+    hashed_words,
     clean_text,
     ngrams,
     normalize_answer,
@@ -19,6 +18,7 @@ from answerloom.functions.text import (
     token_offsets,
     tokenize,
     tokenizer_udf,
+    word_spans,
 )
 
 TEXTS = [
@@ -47,8 +47,8 @@ def test_words_of_many_texts_at_once():
         want = [None if t is None else list(re.finditer(r"[^ \t-\r]+", t)) for t in texts.to_pylist()]
         spans = [w and [{"start": m.start(), "end": m.end()} for m in w] for w in want]
         ids = [w and [int(hashlib.md5(m.group().encode()).hexdigest()[:7], 16) % 97 + 3 for m in w] for w in want]
-        assert _spans(texts).to_pylist() == spans
-        assert _hashed_words(texts, 100, 3).to_pylist() == ids
+        assert word_spans(texts).to_pylist() == spans
+        assert hashed_words(texts, 100, 3).to_pylist() == ids
     pieces = list(text_pieces(pa.array(["ab", "", "cdef", "g", "x" * 9]), most=4))
     assert [(bytes(d), list(b)) for d, b in pieces] == [
         (b"ab", [0, 2, 2]), (b"cdef", [0, 4]), (b"g", [0, 1]), (b"x" * 9, [0, 9])
