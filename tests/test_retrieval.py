@@ -349,3 +349,68 @@ def test_written_index_is_read_from_files(spark):
     plain = fit_tfidf(passages)
     rows = [sorted((r["pid"], r["term"], round(r["weight"], 9)) for r in i.postings.collect()) for i in (index, plain)]
     assert rows[0] == rows[1] and rows[0]
+
+
+def test_terms_of_many_texts_are_counted_as_in_each_row():
+    """Null words, words with blanks, empty and null lists; n-grams never cross rows."""
+    import pyarrow as pa
+
+    from answerloom.functions.text import counted_terms
+
+    lists = [["a", "b", "a b"], None, [], ["a", None, "b"], [None, None], ["b", "a", "a", "a"]]
+
+    def plain(words, lo, hi):
+        grams = [w[0] if n == 1 else " ".join(x for x in w if x is not None)
+                 for n in range(lo, hi + 1) for w in zip(*(words[i:] for i in range(n)))]
+        return Counter(g for g in grams if g is not None)
+
+    for lo, hi in ((1, 1), (1, 2), (1, 3), (2, 2)):
+        rows, places, counts, terms = counted_terms(pa.array(lists), lo, hi)
+        got = sorted((int(r), terms[int(p)].as_py(), int(n)) for r, p, n in zip(rows, places, counts))
+        assert got == sorted((i, t, n) for i, w in enumerate(lists) for t, n in plain(w or [], lo, hi).items())
+
+
+def test_only_frequent_terms_meet_and_weights_need_no_sort(spark, monkeypatch):
+    """Rare n-grams are not sent to be counted; a passage's norm needs no window over its postings."""
+    from answerloom.operators import passage_weights as W
+    from answerloom.operators.tfidf import cut_vocab, term_totals
+
+    texts = [(i, f"alpha beta w{i} gamma v{i} u{i} t{i % 7}") for i in range(300)] + [(300, ""), (301, "alpha")]
+    passages = spark.createDataFrame(texts, "pid long, text string")
+    cfg = TfidfConfig(max_features=5)
+    want = cut_vocab(term_totals(term_freq(passages, "pid", "text", cfg)), 5)
+    totals = W.frequent_totals(passages, cfg)
+    assert totals.count() < 60
+    as_rows = lambda df: sorted(tuple(r) for r in df.select("term", "df", "ctf").collect())
+    assert as_rows(cut_vocab(totals, 5)) == as_rows(want)
+    # Buckets too full for the first count lead to lower ones, with the same result.
+    counted = W.bucket_totals
+    monkeypatch.setattr(W, "bucket_totals", lambda *a: counted(*a) * 50)
+    assert as_rows(cut_vocab(W.frequent_totals(passages, cfg), 5)) == as_rows(want)
+    assert "Window" not in fit_tfidf(passages, cfg).postings._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_send_few_scores_and_repeated_ids_share_a_norm(spark, queries, monkeypatch):
+    from answerloom.operators import passage_weights as W
+
+    monkeypatch.setattr(W, "PRODUCTS", 7)
+    texts = [(i, "red apple " * (i % 5 + 1) + f"w{i}") for i in range(200)]
+    passages = spark.createDataFrame([*texts, (3, "green apple"), (None, "red"), (None, "sky")], "pid long, text string").coalesce(1)
+    index = fit_tfidf(passages)
+    vectors = transform_queries(index, queries)
+    every, best = (W.weight_scores(index.rows, vectors, k).collect() for k in (None, 2))
+    assert len(every) == len({(r["id"], r["pid"]) for r in every}) > len(best)
+    norms = {r["pid"]: r["n"] for r in index.postings.groupBy("pid").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()}
+    assert len(norms) == 201 and all(abs(n - 1) < 1e-9 for n in norms.values())
+    ranked = lambda rows: {
+        q: sorted((-round(r["score"], 9), -1 if r["pid"] is None else r["pid"]) for r in rows if r["id"] == q)[:2] for q in range(5)
+    }
+    assert ranked(every) == ranked(best)
+    for q in range(5):
+        asked = {r["term"]: r["weight"] for r in vectors.where(F.col("id") == q).collect()}
+        sums = Counter()
+        for r in index.postings.collect():
+            if r["term"] in asked:
+                sums[r["pid"]] += r["weight"] * asked[r["term"]]
+        got = {r["pid"]: r["score"] for r in every if r["id"] == q}
+        assert got.keys() == sums.keys() and all(abs(got[p] - sums[p]) < 1e-9 for p in got)
