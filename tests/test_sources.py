@@ -223,3 +223,26 @@ def test_stored_postings_lie_in_term_ranges(spark, tmp_path):
         want = tfidf_topk(fresh, both, 5).select("id", "pid", "rank", F.round("score", 9))
         assert sorted(rows.collect()) == sorted(want.collect())
     assert only_parts(index, transform_queries(index, both.where("id = 3"))).postings.count() == 0
+
+
+def test_block_maxima_lie_with_the_postings(spark, tmp_path):
+    """Postings are written once, each block's largest weight on one of its rows; older files are not taken."""
+    passages = spark.createDataFrame([(i, f"red apple w{i % 5} v{i}") for i in range(40)], "pid long, text string")
+    for cfg in (TfidfConfig(), TfidfConfig(max_features=None)):
+        path = str(tmp_path / f"index-{cfg.max_features}")
+        SI.build_index(passages, path, cfg, "x")
+        index = SI.load_index(spark, path, cfg, "x")
+        assert all("/postings/" in file for file in index.tops.inputFiles())
+        best = {}
+        for r in index.postings.collect():
+            key = (r["term"], r["block"])
+            best[key] = max(best.get(key, 0.0), r["weight"])
+        tops = index.tops.collect()
+        assert {(r["term"], r["block"]): r["top"] for r in tops} == best and len(tops) == len(best)
+        plain = {(r["term"], r["pid"], round(r["weight"], 9)) for r in fit_tfidf(passages, cfg).postings.collect()}
+        assert {(r["term"], r["pid"], round(r["weight"], 9)) for r in index.postings.collect()} == plain
+    meta = spark.read.schema(SI.META).parquet(f"{path}/index_meta").drop("layout").collect()
+    old = spark.createDataFrame(meta, SI.META.rpartition(",")[0])
+    old.write.mode("overwrite").parquet(f"{path}/index_meta")
+    with pytest.raises(SI.StaleIndex):
+        SI.load_index(spark, path, cfg, "x")
