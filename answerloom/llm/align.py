@@ -42,16 +42,19 @@ from .common import give_back, table, to_arrow
 from .words import blocks, ranges, split_words, tokenizer_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Bytes of a range, fragments that a task composes at a time, stretches a worker remembers.
-RANGE, FAN, REMEMBERED = 1 << 15, 16, 350_000
+#: Bytes of a range, fragments that a task composes at a time, stretches a worker remembers and bytes of them.
+RANGE, FAN, REMEMBERED, HELD = 1 << 15, 16, 350_000, 1 << 26
 #: Stretches that are given to the tokenizers at a time, bytes of text that are aligned at a time.
 ENCODED, BLOCK = 10_000, 4 << 20
+#: Stretches, and bytes of them, that are laid end to end and encoded as one text; a stretch that goes before them.
+JOINED, JOINED_BYTES, LEAD = 128, 1 << 13, " a"
 #: Pair codes: A's id times this plus B's id.
 BASE = 1 << 32
 
 _SPACE = r"\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Texts with white space other than single spaces and newlines, or with a space behind white space.
 _UNUSUAL = rf"[{_SPACE}]|[ \n] |^[ \n]"
+_SPACED = rf"[ \n{_SPACE}]$"
 _CUT = re.compile("(?<=[^\\s᠎])(?= )")
 
 
@@ -168,25 +171,34 @@ class Aligner:
         self.a_bytes, self.b_bytes = a_bytes(a_path), b_bytes(self.b)
         self.a_size = np.array(list(map(len, self.a_bytes)), np.int64)
         self.b_size = np.array(list(map(len, self.b_bytes)), np.int64)
-        self.space, self.limit, self.with_texts = self.b.piece_to_id("▁"), remembered, True
+        self.tables = [pa.array(t, pa.binary()) for t in (self.a_bytes, self.b_bytes)]
+        # What stands in a group's text for an id that others follow there, and for the last one.
+        self.shown = pa.array([f"{i}{sign}" for t, last in ((self.a_bytes, "|"), (self.b_bytes, ";")) for i in range(len(t)) for sign in (",", last)])
+        self.space, self.limit = self.b.piece_to_id("▁"), remembered
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.words = pa.array([], pa.string())
         self.ok = np.zeros(0, bool)
         none, zero = np.zeros(0, np.int64), np.zeros(1, np.int64)
         # By stretch: A's ids, B's ids, links, as flat arrays and where each stretch ends in them.
         self.flat, self.ends = [none] * 3, [zero] * 3
-        self.texts: list[str] = []
+        #: The texts of each stretch's groups, each closed by a semicolon.
+        self.texts = pa.array([], pa.string())
+
+    def full(self) -> bool:
+        """True if the stretches are too many or too long."""
+        return len(self.words) > self.limit or self.words.nbytes + self.texts.nbytes > HELD
 
     def make_room(self) -> bool:
-        """Forget all stretches if they are too many."""
-        if len(self.number) <= self.limit:
+        """Forget all stretches if the memory for them is full."""
+        if not self.full():
             return False
         self._forget()
         return True
 
-    def _learn(self, new: list[str]) -> None:
+    def _alone(self, new: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Both tokenizers' ids of stretches encoded one by one, and which stretches they make up."""
         a, b = [], []
         for at in range(0, len(new), ENCODED):  # the libraries' own results are much larger than the ids
             part = new[at : at + ENCODED]
@@ -194,68 +206,124 @@ class Aligner:
             b += self.b.encode([s[1:] if s[0] == " " else s for s in part], num_threads=1)
         # An empty text gets no space in front.
         b = [[self.space] if s == " " else ids if s[0] == " " else ids[1:] if ids[:1] == [self.space] else [] for ids, s in zip(b, new)]
-        raw = [s.encode() for s in new]
-        ok = self._whole(raw, a, b)
-        if not ok.all():
-            for i in np.flatnonzero(~ok).tolist():
-                a[i] = b[i] = []
-        counts = [np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)]
-        a, b = (list(chain.from_iterable(x)) for x in (a, b))
-        a_text, b_text = a, b
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        _, ia, ib = np.intersect1d(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), assume_unique=True, return_indices=True)
+        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        same = (b"".join(map(a_of, x)) == s.encode() == b"".join(map(b_of, y)) for x, y, s in zip(a, b, new))
+        ok = np.fromiter(same, bool, len(new))
+        for i in np.flatnonzero(~ok).tolist():
+            a[i] = b[i] = []
+        return a, b, ok
+
+    def _together(self, words: pa.Array):
+        """Stretches laid end to end and encoded many at a time.
+
+        For A and B: the ids, their number by stretch; last, which stretches both tokenizers make up.
+        The others, and those behind which the tokenizers may not part, are left out: they count 0.
+        """
+        ends = np.append(0, np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)))
+        data = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "")[0].as_buffer().to_pybytes()
+        # Nothing is laid behind a stretch that ends in white space.
+        cuts = np.flatnonzero(pc.match_substring_regex(words, _SPACED).to_numpy(zero_copy_only=False))
+        long = np.searchsorted(ends, np.arange(0, len(data), JOINED_BYTES))
+        bounds = np.unique(np.concatenate([np.arange(0, len(words), JOINED), long, cuts, cuts + 1, [len(words)]]))
+        spaced = set(cuts.tolist())
+        groups = [(p, q) for p, q in zip(bounds.tolist(), bounds[1:].tolist()) if p not in spaced]
+        fine = np.zeros(len(words), bool)
+        counts = np.zeros((2, len(words)), np.int64)
+        ids: list[list[np.ndarray]] = [[], []]
+        for at in range(0, len(groups), ENCODED // JOINED + 1):
+            some = groups[at : at + ENCODED // JOINED + 1]
+            raw = [data[ends[p] : ends[q]] for p, q in some]
+            texts = [LEAD + r.decode() for r in raw]
+            found = (
+                [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)],
+                self.b.encode([t[1:] for t in texts], num_threads=1),
+            )
+            for (p, q), r, *both in zip(some, raw, *found):
+                parts = [self._parted(k, x, r, ends[p + 1 : q + 1] - ends[p]) for k, x in enumerate(both)]
+                if None not in parts:
+                    fine[p:q] = True
+                    for k, (own, n) in enumerate(parts):
+                        ids[k].append(own)
+                        counts[k, p:q] = n
+        return *([np.concatenate([np.zeros(0, np.int64), *x]) for x in ids]), counts, fine
+
+    def _parted(self, k: int, ids: list[int], raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the stretches that end there, and how many each has; None if the ids are not the bytes."""
+        ids = np.array(ids, np.int64)
+        sizes = (self.a_size, self.b_size)[k][ids]
+        last = np.cumsum(sizes) - len(LEAD)
+        first = int(np.searchsorted(last, 0, "right"))
+        ids, last, before = ids[first:], last[first:], last[first - 1] if first else -1
+        if before or not len(last) or last[-1] != ends[-1] or not sizes.all():
+            return None
+        at = np.searchsorted(last, ends)
+        if not np.array_equal(last[at], ends) or self.tables[k].take(pa.array(ids)).buffers()[2].to_pybytes()[: len(raw)] != raw:
+            return None
+        return ids, np.diff(at + 1, prepend=0)
+
+    def _learn(self, new: pa.Array) -> None:
+        a, b, counts, ok = self._together(new)
+        left = np.flatnonzero(~ok)
+        if len(left):
+            *more, fine = self._alone(new.take(pa.array(left)).to_pylist())
+            flat = []
+            for k, (ids, own) in enumerate(zip((a, b), more)):
+                n = np.fromiter(map(len, own), np.int64, len(own))
+                begins = np.cumsum(counts[k]) - counts[k]
+                begins[left], counts[k, left] = len(ids) + np.cumsum(n) - n, n
+                flat.append(np.append(ids, np.fromiter(chain.from_iterable(own), np.int64))[ranges(begins, counts[k])])
+            a, b = flat
+            ok[left] = fine
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        place = np.full(int(a_ends[-1]) + 1 if len(a) else 1, -1)
+        place[a_ends] = np.arange(len(a))
+        ia = place[b_ends]
+        ib = np.flatnonzero(ia >= 0)
+        ia = ia[ib]
         links = np.diff(np.searchsorted(ia, np.cumsum(counts[0])), prepend=0)
-        if self.with_texts:
-            ends = zip((ia + 1).tolist(), (ib + 1).tolist())
-            groups, p, r = [], 0, 0
-            for q, s in ends:
-                groups.append(f"{a_text[p]}|{b_text[r]}" if q - p == 1 == s - r else group_text(a_text[p:q], b_text[r:s]))
-                p, r = q, s
-            first = (np.cumsum(links) - links).tolist()
-            self.texts += [groups[i] if n == 1 else ";".join(groups[i : i + n]) for i, n in zip(first, links.tolist())]
+        self.texts = pa.concat_arrays([self.texts, self._shown(a, b, ia, ib, counts)])
+        self.words = pa.concat_arrays([self.words, new])
         self.ok = np.append(self.ok, ok)
         for k, (values, n) in enumerate(((a, counts[0]), (b, counts[1]), (a[ia] * BASE + b[ib], links))):
             self.flat[k] = np.append(self.flat[k], values)
             self.ends[k] = np.append(self.ends[k], self.ends[k][-1] + np.cumsum(n))
 
-    def _whole(self, raw: list[bytes], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
-        """Which stretches both tokenizers' bytes make up."""
-        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        together = b"".join(raw)
-        if all(b"".join(map(of, chain.from_iterable(ids))) == together for of, ids in ((a_of, a), (b_of, b))):
-            # All bytes are there; every stretch's tokens must also end where it ends.
-            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-            for width, ids in ((self.a_size, a), (self.b_size, b)):
-                flat = np.fromiter(chain.from_iterable(ids), np.int64)
-                last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-                if not np.array_equal(np.append(0, np.cumsum(width[flat]))[last], ends):
-                    break
-            else:
-                return np.ones(len(raw), bool)
-        same = (b"".join(map(a_of, x)) == r == b"".join(map(b_of, y)) for x, y, r in zip(a, b, raw))
-        return np.fromiter(same, bool, len(raw))
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
-        if new:
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+    def _shown(self, a, b, ia, ib, counts) -> pa.Array:
+        """The texts of each stretch's groups, from the ids in the groups' order."""
+        n_a, n_b = np.diff(ia, prepend=-1), np.diff(ib, prepend=-1)
+        codes = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[ia] = last_b[ib] = 1
+        codes[np.arange(len(a)) + np.repeat(ib + 1 - n_b, n_a)] = 2 * a + last_a
+        codes[np.arange(len(b)) + np.repeat(ia + 1, n_b)] = 2 * (len(self.a_bytes) + b) + last_b
+        shown = self.shown.take(pa.array(codes))
+        ends = _offsets(shown)[np.append(0, np.cumsum(counts.sum(axis=0)))]
+        return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), shown.buffers()[2])
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers of different stretches; what is new is encoded."""
+        found = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(found))
+        out = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(new):
+            out[pc.is_null(found).to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
             self._learn(new)
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return out
 
     def stretches(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The stretches' numbers of texts that are not empty, in order, and how many each text has."""
         unusual = pc.match_substring_regex(texts, _UNUSUAL)
         slow = np.flatnonzero(unusual.to_numpy(zero_copy_only=False))
         fast = np.flatnonzero(~unusual.to_numpy(zero_copy_only=False))
-        parted = pc.replace_substring_regex(texts.take(pa.array(fast)), "\n+", " \\0")
+        parted = pc.replace_substring_regex(texts.take(pa.array(fast)) if len(slow) else texts, "\n+", " \\0")
         codes, counts, words = split_words(parted, lambda t: pc.split_pattern(t, " "))
         # A text's first stretch starts with the space that goes before the text.
-        numbers = self.numbers([w if w[:1] == "\n" else " " + w for w in words.to_pylist()])
-        codes = numbers[codes]
+        codes = self.numbers(pc.binary_join_element_wise(pc.if_else(pc.starts_with(words, "\n"), "", " "), words, ""))[codes]
         if not len(slow):
             return codes, counts
         cut = [_CUT.split(" " + t) for t in texts.take(pa.array(slow)).to_pylist()]
-        more = self.numbers([w for words in cut for w in words])
+        coded = pa.array([w for words in cut for w in words], pa.string()).dictionary_encode()
+        more = self.numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = np.zeros(len(texts), np.int64)
         sizes[fast], sizes[slow] = counts, list(map(len, cut))
         begins = np.cumsum(sizes) - sizes
@@ -264,6 +332,12 @@ class Aligner:
         out[ranges(begins[slow], sizes[slow])] = more
         return out, sizes
 
+    def hashes(self, codes: np.ndarray, counts: np.ndarray, ok: np.ndarray) -> list[str]:
+        """sha256 of the group texts of each text's stretches, empty where the text is not ok."""
+        shown = self.texts.take(pa.array(codes))
+        data, ends = memoryview(shown.buffers()[2] or b""), _offsets(shown)[np.append(0, np.cumsum(counts))].tolist()
+        return [hashlib.sha256(data[p : q - 1]).hexdigest() if fine else "" for p, q, fine in zip(ends, ends[1:], ok.tolist())]
+
     def of(self, k: int, codes: np.ndarray) -> np.ndarray:
         """A's ids (0), B's ids (1) or links (2) of stretches in order."""
         first = self.ends[k][codes]
@@ -273,22 +347,22 @@ class Aligner:
         return np.diff(self.ends[k])
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+def _offsets(strings: pa.Array) -> np.ndarray:
+    """Where the strings of an array begin in its bytes, and where the last one ends."""
+    if not len(strings):
+        return np.zeros(1, np.int32)
+    return np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1]
 
 
-def aligner(files: tuple[str, str] | None, texts: bool = True) -> Aligner:
-    """One aligner per worker process and pair of vocabularies; it outlives the task.
+_ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
-    ``texts`` asks for the groups' texts; links alone need none.
-    """
+
+def aligner(files: tuple[str, str] | None) -> Aligner:
+    """One aligner per worker process and pair of vocabularies; it outlives the task."""
     files = files or (tokenizer_path(A_FILE), tokenizer_path(B_FILE))
     if files not in _ALIGNERS:
         _ALIGNERS[files] = Aligner(*files)
-    known = _ALIGNERS[files]
-    if known.with_texts != texts:
-        known._forget()
-        known.with_texts = texts
-    return known
+    return _ALIGNERS[files]
 
 
 # Very long texts -------------------------------------------------------------------
@@ -348,14 +422,14 @@ def fragments(cut: DataFrame, files) -> DataFrame:
     schema = to_arrow(FRAGMENTS)
 
     def run(batches):
-        known = aligner(files, texts=False)
+        known = aligner(files)
         for batch in batches:
             for at, n in blocks(batch.column("stretch"), BLOCK):
                 known.make_room()
                 part = batch.slice(at, n)
                 # A stretch of one space alone is the space before an empty rest.
                 there = pc.greater(pc.binary_length(part.column("stretch")), 0).to_numpy(zero_copy_only=False)
-                lone = known.numbers([" "])
+                lone = known.numbers(pa.array([" "]))
                 codes, counts = known.stretches(part.column("stretch").filter(pa.array(there)))
                 own = iter(np.split(codes, np.cumsum(counts)[:-1]) if len(counts) else [])
                 rows = []
@@ -422,11 +496,11 @@ def pair_counts(docs: DataFrame, files, size: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], schema=schema)
 
     def run(batches):
-        known, uses = aligner(files, texts=False), np.zeros(0, np.int64)
+        known, uses = aligner(files), np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column(0)
             for at, n in blocks(texts, BLOCK):
-                if len(known.number) > known.limit:
+                if known.full():
                     yield sums(known, uses)
                     known.make_room()
                     uses = np.zeros(0, np.int64)
@@ -490,7 +564,7 @@ def scored(docs: DataFrame, files, size: int, shared) -> DataFrame:
                     sums = best = np.zeros(0, np.int64)
                 there = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
                 out = [np.zeros(n, np.int64) for _ in range(5)]
-                hashes = [""] * n
+                hashes = np.full(n, "", object)
                 if there.any():
                     codes, counts = known.stretches(texts.take(pa.array(np.flatnonzero(there))))
                     new = [totals(v, known.sizes(2)[len(sums) :]) for v in _looked_up(shared, known.flat[2][known.ends[2][len(sums)] :])]
@@ -499,10 +573,7 @@ def scored(docs: DataFrame, files, size: int, shared) -> DataFrame:
                     fine = np.logical_and.reduceat(known.ok[codes], begins)
                     for k, values in enumerate((*map(known.sizes, range(3)), best, sums)):
                         out[k][there] = np.where(fine, np.add.reduceat(values[codes], begins), 0)
-                    word, listed = known.texts.__getitem__, codes.tolist()
-                    for row, ok, p, c in zip(np.flatnonzero(there).tolist(), fine.tolist(), begins.tolist(), counts.tolist()):
-                        if ok:
-                            hashes[row] = hashlib.sha256(";".join(map(word, listed[p : p + c])).encode()).hexdigest()
+                    hashes[there] = known.hashes(codes, counts, fine)
                 n_a, n_b, links, top, total = out
                 columns = (ids, n_a, n_b, links, links, top, total, hashes)
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from answerloom.llm import align
@@ -110,3 +111,53 @@ def test_pairs_are_bounded():
     assert bound < 1_000_000
     found = {(a[-1], b[-1]) for t in TEXTS for a, b in groups(t) or []}
     assert all(A_BYTES[a].endswith(B_BYTES[b]) or B_BYTES[b].endswith(A_BYTES[a]) for a, b in found)
+
+
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, inner, names):
+        self.inner, self.names, self.texts = inner, names, 0
+
+    def __getattr__(self, name):
+        found = getattr(self.inner, name)
+        if name not in self.names:
+            return found
+
+        def call(texts, **options):
+            self.texts += len(texts)
+            return found(texts, **options)
+
+        return call
+
+
+def test_many_stretches_are_encoded_as_one_text():
+    known = align.Aligner(tokenizer_path(align.A_FILE), tokenizer_path(align.B_FILE))
+    known.a, known.b = Counted(known.a, {"encode_batch_fast"}), Counted(known.b, {"encode"})
+    words = pa.array(sorted({" " + "".join(R.choice("abcdeé.,") for _ in range(R.randrange(1, 12))) for _ in range(20_000)}))
+    numbers = known.numbers(words)
+    assert numbers.tolist() == list(range(len(words))) and known.ok.all()
+    assert known.a.texts < len(words) / 20 > known.b.texts
+    assert known.numbers(words.slice(5, 9)).tolist() == list(range(5, 14))
+
+
+def test_together_and_alone_agree():
+    known = align.Aligner(tokenizer_path(align.A_FILE), tokenizer_path(align.B_FILE))
+    cut = {w for t in TEXTS if t for w in align._CUT.split(" " + t)}
+    words = sorted(cut | {"\nfoo", "\n\nbar", " " + "x" * 20_000})
+    found = known.numbers(pa.array(words))
+    a, b, ok = known._alone(words)
+    assert known.ok[found].tolist() == ok.tolist() and 0 < ok.sum() < len(ok)
+    for k, want in enumerate((a, b)):
+        assert [known.of(k, found[i : i + 1]).tolist() for i in range(len(words))] == want
+    texts = known.texts.to_pylist()
+    assert all(t.count("|") == t.count(";") == n for t, n in zip(texts, known.sizes(2).tolist()))
+
+
+def test_long_stretches_are_forgotten(monkeypatch):
+    monkeypatch.setattr(align, "HELD", 50_000)
+    known = align.Aligner(tokenizer_path(align.A_FILE), tokenizer_path(align.B_FILE))
+    known.numbers(pa.array([" a", " b"]))
+    assert not known.make_room()
+    known.numbers(pa.array([" " + "x" * 60_000]))
+    assert known.make_room() and not len(known.words)
