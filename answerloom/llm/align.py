@@ -174,6 +174,7 @@ class Aligner:
         self.tables = [pa.array(t, pa.binary()) for t in (self.a_bytes, self.b_bytes)]
         # What stands in a group's text for an id that others follow there, and for the last one.
         self.shown = pa.array([f"{i}{sign}" for t, last in ((self.a_bytes, "|"), (self.b_bytes, ";")) for i in range(len(t)) for sign in (",", last)])
+        self.narrow = max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16
         self.space, self.limit = self.b.piece_to_id("▁"), remembered
         self._forget()
 
@@ -484,35 +485,72 @@ def _usual(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.octet_length("text") < size)
 
 
-def pair_counts(docs: DataFrame, files, size: int) -> DataFrame:
-    """pair and n of the links of texts below ``size``, summed per task."""
-    schema = to_arrow("pair long, n long")
+#: A text's numbers, its links as packed pairs and its groups; rows with pairs sum up the links of many texts.
+ENCODED_TEXTS = (
+    "doc_id long, n_a long, n_b long, n_links long, links binary, groups_sha256 string, pairs array<long>, counts array<long>"
+)
+
+
+def encoded(docs: DataFrame, files, size: int) -> DataFrame:
+    """ENCODED_TEXTS of texts below ``size``, with sums of their links once per task."""
+    schema = to_arrow(ENCODED_TEXTS)
+
+    def record(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     def sums(known: Aligner, uses: np.ndarray) -> pa.RecordBatch:
         uses = np.append(uses, np.zeros(len(known.ok) - len(uses), np.int64))
         weight = np.repeat(uses, known.sizes(2))
         pairs, which = np.unique(known.flat[2][weight > 0], return_inverse=True)
         counts = np.bincount(which, weight[weight > 0], len(pairs)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], schema=schema)
+        return record(*[[None]] * 6, [pairs], [counts])
 
     def run(batches):
         known, uses = aligner(files), np.zeros(0, np.int64)
         for batch in batches:
-            texts = batch.column(0)
-            for at, n in blocks(texts, BLOCK):
+            for at, n in blocks(batch.column(1), BLOCK):
+                ids, texts = batch.column(0).slice(at, n), batch.column(1).slice(at, n)
                 if known.full():
                     yield sums(known, uses)
                     known.make_room()
                     uses = np.zeros(0, np.int64)
-                codes, counts = known.stretches(texts.slice(at, n))
-                fine = np.logical_and.reduceat(known.ok[codes], np.cumsum(counts) - counts)
-                new = np.bincount(codes[np.repeat(fine, counts)], minlength=len(known.ok))
-                new[: len(uses)] += uses
-                uses = new
+                there = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+                out = [np.zeros(n, np.int64) for _ in range(3)]
+                hashes, links = np.full(n, "", object), np.zeros(0, np.int64)
+                if there.any():
+                    codes, counts = known.stretches(texts.take(pa.array(np.flatnonzero(there))))
+                    begins = np.cumsum(counts) - counts
+                    fine = np.logical_and.reduceat(known.ok[codes], begins)
+                    for k, values in enumerate(map(known.sizes, range(3))):
+                        out[k][there] = np.where(fine, np.add.reduceat(values[codes], begins), 0)
+                    hashes[there] = known.hashes(codes, counts, fine)
+                    codes = codes[np.repeat(fine, counts)]
+                    links = known.of(2, codes)
+                    new = np.bincount(codes, minlength=len(known.ok))
+                    new[: len(uses)] += uses
+                    uses = new
+                yield record(ids, *out, packed(links, out[2], known.narrow), hashes, *[pa.nulls(n, f.type) for f in list(schema)[6:]])
         yield sums(known, uses)
         give_back()
 
-    return _usual(docs, size).filter("text <> ''").select("text").mapInArrow(run, "pair long, n long")
+    return _usual(docs, size).mapInArrow(run, ENCODED_TEXTS)
+
+
+def packed(links: np.ndarray, counts: np.ndarray, narrow: bool) -> pa.Array:
+    """Each text's links as bytes, four to a link if the ids of both vocabularies are that narrow."""
+    values = ((links >> 32 << 16) + links % BASE).astype("<u4") if narrow else links.astype("<i8")
+    ends = np.append(0, np.cumsum(counts) * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
+
+
+def unpacked(links: pa.Array, total: int) -> np.ndarray:
+    """All texts' links from their bytes."""
+    ends = _offsets(links)
+    data = memoryview(links.buffers()[2] or b"")[ends[0] : ends[-1]]
+    if len(data) == 8 * total:
+        return np.frombuffer(data, "<i8")
+    values = np.frombuffer(data, "<u4").astype(np.int64)
+    return (values >> 16) * BASE + values % (1 << 16)
 
 
 def align(docs: DataFrame, files: tuple[str, str] | None = None, size: int = RANGE) -> DataFrame:
@@ -526,8 +564,9 @@ def align(docs: DataFrame, files: tuple[str, str] | None = None, size: int = RAN
     # Ranges of one text are dealt to many tasks.
     dealt = cut.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "key", "idx")
     whole = composed(stored(fragments(dealt, files), "fragments"))
-    pairs = pair_counts(docs, files, size).unionByName(
-        whole.filter("ok").select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).select(F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n")))
+    texts = stored(encoded(docs, files, size), "encoded")
+    sums = texts.filter("pairs IS NOT NULL").select("pairs", "counts").unionByName(whole.filter("ok").select("pairs", "counts"))
+    pairs = sums.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).select(F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n"))
     pairs = stored(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     b = (F.col("pair") % BASE).alias("b")
     most = pairs.groupBy(b).agg(F.max("n").alias("most"))
@@ -535,7 +574,7 @@ def align(docs: DataFrame, files: tuple[str, str] | None = None, size: int = RAN
     # At most pair_bound(...) rows, whatever the corpus.
     told = ranked.toArrow().sort_by("pair")
     shared = spark.sparkContext.broadcast(tuple(told[c].to_numpy() for c in ("pair", "n", "best")))
-    return scored(docs, files, size, shared).unionByName(scored_fragments(whole, shared))
+    return scored(texts.filter("pairs IS NULL").drop("pairs", "counts"), shared).unionByName(scored_fragments(whole, shared))
 
 
 def _looked_up(shared, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -548,38 +587,22 @@ def _looked_up(shared, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(there, counts[at], 0), (there & best[at]).astype(np.int64)
 
 
-def scored(docs: DataFrame, files, size: int, shared) -> DataFrame:
+def scored(texts: DataFrame, shared) -> DataFrame:
+    """ALIGNED of encoded texts."""
     schema = to_arrow(ALIGNED)
 
-    def totals(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        return np.diff(np.append(0, np.cumsum(values))[np.append(0, np.cumsum(sizes))])
-
     def run(batches):
-        known = aligner(files)
-        sums = best = np.zeros(0, np.int64)  # by stretch, for all that are known at the first block
         for batch in batches:
-            for at, n in blocks(batch.column(1), BLOCK):
-                ids, texts = batch.column(0).slice(at, n), batch.column(1).slice(at, n)
-                if known.make_room():
-                    sums = best = np.zeros(0, np.int64)
-                there = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-                out = [np.zeros(n, np.int64) for _ in range(5)]
-                hashes = np.full(n, "", object)
-                if there.any():
-                    codes, counts = known.stretches(texts.take(pa.array(np.flatnonzero(there))))
-                    new = [totals(v, known.sizes(2)[len(sums) :]) for v in _looked_up(shared, known.flat[2][known.ends[2][len(sums)] :])]
-                    sums, best = np.append(sums, new[0]), np.append(best, new[1])
-                    begins = np.cumsum(counts) - counts
-                    fine = np.logical_and.reduceat(known.ok[codes], begins)
-                    for k, values in enumerate((*map(known.sizes, range(3)), best, sums)):
-                        out[k][there] = np.where(fine, np.add.reduceat(values[codes], begins), 0)
-                    hashes[there] = known.hashes(codes, counts, fine)
-                n_a, n_b, links, top, total = out
-                columns = (ids, n_a, n_b, links, links, top, total, hashes)
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-        give_back()
-
-    return _usual(docs, size).mapInArrow(run, ALIGNED)
+            for at, n in blocks(batch.column("links"), BLOCK):
+                part = batch.slice(at, n)
+                n_links = part.column("n_links").to_numpy(zero_copy_only=False)
+                ends = np.append(0, np.cumsum(n_links))
+                found = _looked_up(shared, unpacked(part.column("links"), int(ends[-1])))
+                total, top = (pa.array(np.diff(np.append(0, np.cumsum(v))[ends])) for v in found)
+                ids, n_a, n_b, links, hashes = (part.column(c) for c in ("doc_id", "n_a", "n_b", "n_links", "groups_sha256"))
+                yield pa.RecordBatch.from_arrays([ids, n_a, n_b, links, links, top, total, hashes], schema=schema)
+
+    return texts.mapInArrow(run, ALIGNED)
 
 
 def scored_fragments(whole: DataFrame, shared) -> DataFrame:

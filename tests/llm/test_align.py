@@ -161,3 +161,24 @@ def test_long_stretches_are_forgotten(monkeypatch):
     assert not known.make_room()
     known.numbers(pa.array([" " + "x" * 60_000]))
     assert known.make_room() and not len(known.words)
+
+
+def test_links_are_packed_and_unpacked():
+    for top, narrow in ((1 << 16, True), (1 << 31, False)):
+        counts = np.array([0, 3, 0, 50, 1])
+        links = np.array([R.randrange(top) * align.BASE + R.randrange(top) for _ in range(counts.sum())])
+        kept = align.packed(links, counts, narrow)
+        assert [len(x) for x in kept.to_pylist()] == (counts * (4 if narrow else 8)).tolist()
+        assert align.unpacked(kept, counts.sum()).tolist() == links.tolist()
+        assert align.unpacked(kept.slice(3, 2), 51).tolist() == links[3:].tolist()
+
+
+def test_texts_are_encoded_once(spark):
+    docs = spark.createDataFrame([(i, f"one two {i}") for i in range(50)], "doc_id long, text string")
+    found = align.encoded(docs.repartition(2), None, 1 << 15).toArrow().to_pylist()
+    texts = [r for r in found if r["pairs"] is None]
+    linked = Counter(x for r in texts for x in align.unpacked(pa.array([r["links"]]), r["n_links"]).tolist())
+    summed = Counter()
+    for r in found:
+        summed.update(dict(zip(r["pairs"] or [], r["counts"] or [])))
+    assert len(texts) == 50 and summed == linked and sum(summed.values()) == sum(r["n_links"] for r in texts)
