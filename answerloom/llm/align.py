@@ -10,7 +10,10 @@ different tasks, and a tree of tasks composes their fragments.
 Neither tokenizer joins what a space behind a non-space parts, so both encode a text stretch by
 stretch between such spaces, and each different stretch of a task once. A range encodes the
 stretches that reach into it and keeps the tokens that end inside it. Vocabularies without that
-property are refused.
+property are refused. By the same property new stretches are laid end to end and encoded as one text;
+the ids are parted where a stretch's bytes end, and compared with its bytes.
+
+Each text is encoded once: its numbers and links are stored, and looked up when the counts are known.
 
 Counts of linked id pairs run over all texts. Of two tokens that end together one's bytes end the
 other's, so the pairs are at most ``pair_bound(a, b)`` (under a million for these vocabularies),

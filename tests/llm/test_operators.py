@@ -301,6 +301,25 @@ def test_repeated_passages(spark, most):
     assert substring_dedup.remove_repeats(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_passages_count_by_bytes_not_words(spark):
+    def say(n):
+        return " ".join("".join(R.choice("abcdefgh") for _ in range(R.randint(2, 9))) for _ in range(n))
+
+    rows, size = [], {}
+    for _ in range(60):
+        passage = say(R.randint(51, 80))
+        for _ in range(2):
+            size[len(rows)] = len(passage.encode())
+            rows.append((len(rows), f"{R.random()}x {passage} x{R.random()}"))
+    rows += [(len(rows) + i, say(200)) for i in range(60)]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(frame(spark, rows)).collect()}
+    # "x" and the space on either side repeat with the passage; an equal digit may too.
+    assert all(got[d] >= n + 4 for d, n in size.items() if n >= 396)
+    assert not any(got[d] for d, n in size.items() if n < 380)
+    assert not any(n for d, n in got.items() if d not in size)
+    assert any(n < 380 for n in size.values()) and any(n >= 396 for n in size.values())
+
+
 @pytest.mark.parametrize("shallow", [8, 16, 64])
 def test_suffix_sort(shallow):
     text = bytes(R.choice(b"ab") for _ in range(300)) * 2
