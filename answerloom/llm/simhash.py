@@ -11,6 +11,9 @@ enumerate small balls of the other segment instead and are tied to one member at
 point: a point within one bit of two of them, or within one and two bits, proves at most three
 differing bits, and every such pair has one. That is exact, and its rows grow with the members.
 
+Spark sizes a table after an explode as before it, so a side that meets balls, or is one, would be
+broadcast with many times the rows it was sized by: these joins are merge joins.
+
 Defined results: a null text and a text without words have fingerprint zero, linked like any
 other; fewer words than a shingle give the whole sequence; repeated rows link to each other;
 a null id never names a component unless all ids in it are null, and such components stay apart; an empty table gives an empty
@@ -85,14 +88,14 @@ def links(prints: DataFrame) -> DataFrame:
     )
     probes = entries.select("fp", "seg", "rest", F.explode(F.transform(one_more, lambda b: F.col("key").bitwiseOR(b))).alias("key"))
     sizes = entries.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"))
-    entries = stored(entries.join(sizes, ["seg", "key"]), "segments")
+    entries = stored(entries.join(sizes.hint("merge"), ["seg", "key"]), "segments")
     hot_keys = entries.filter(F.col("n") > HOT).select("seg", "key").distinct()
 
     cold = entries.filter(F.col("n") <= HOT).select("seg", "key", F.col("fp").alias("v"))
     single = entries.filter((F.col("n") > 1) & (F.col("n") <= HOT)).select("seg", "key", F.col("fp").alias("u"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 3
-    equal = single.join(cold, ["seg", "key"]).filter("u < v")
-    flipped = probes.select("seg", "key", F.col("fp").alias("u")).join(cold, ["seg", "key"])
+    equal = single.join(cold.hint("merge"), ["seg", "key"]).filter("u < v")
+    flipped = probes.select("seg", "key", F.col("fp").alias("u")).join(cold.hint("merge"), ["seg", "key"])
     pairs = equal.unionByName(flipped).filter(near).select("u", "v")
 
     # Keys one bit below a hot key are found from the hot keys, which are few, not from all probes.
@@ -102,7 +105,7 @@ def links(prints: DataFrame) -> DataFrame:
     )
     below = hot_keys.select("seg", F.col("key").alias("hot"), F.explode(F.transform(bits, lambda b: F.col("key").bitwiseXOR(b))).alias("key"))
     members = entries.filter(F.col("n") > HOT).select("fp", "seg", "key", "rest", F.lit(2).alias("reach")).unionByName(
-        entries.join(below, ["seg", "key"]).select("fp", "seg", F.col("hot").alias("key"), "rest", F.lit(1).alias("reach"))
+        entries.join(below.hint("merge"), ["seg", "key"]).select("fp", "seg", F.col("hot").alias("key"), "rest", F.lit(1).alias("reach"))
     )
     return pairs.unionByName(_stars(stored(members, "hot-members")))
 
@@ -121,13 +124,13 @@ def _stars(members: DataFrame) -> DataFrame:
     keys = ["seg", "key", "point"]
     centre = F.min(F.when((F.col("reach") == 2) & (F.col("far") <= 1), F.col("fp")))
     centres = points.groupBy(*keys).agg(centre.alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND v IS NOT NULL")
-    found = points.join(centres, keys).filter("fp <> v")
+    found = points.join(centres.hint("merge"), keys).filter("fp <> v")
     return found.select(F.col("fp").alias("u"), "v").distinct()
 
 
 def labelled(prints: DataFrame, once: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (doc_id, row, fp) with component_id and root, from the least id by fp and the linked fps' roots."""
-    named = once.join(roots, once["fp"] == roots["node"], "left").select(
+    named = once.join(roots.hint("merge"), once["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -135,7 +138,7 @@ def labelled(prints: DataFrame, once: DataFrame, roots: DataFrame) -> DataFrame:
     # Rows of one fingerprint may be many: they meet its label over salted keys.
     salted = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(1024)))
     keys = salted.select("fp", "salt").distinct().join(labels, "fp")
-    return salted.join(keys, ["fp", "salt"]).select("doc_id", "row", "fp", "component_id", "root")
+    return salted.join(keys.hint("merge"), ["fp", "salt"]).select("doc_id", "row", "fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

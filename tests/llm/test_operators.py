@@ -113,6 +113,16 @@ def test_simhash_components(spark, monkeypatch):
     assert simhash.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_simhash_broadcasts_no_balls(spark):
+    prints = sorted({R.getrandbits(62) & ~(1 << R.randrange(62)) for _ in range(40)})
+    prints += [prints[0] ^ 5, prints[1] ^ (1 << 40)]
+    linked = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"))
+    plan = linked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and "Broadcast" not in plan
+    want = {frozenset(p) for p in itertools.combinations(prints, 2) if (p[0] ^ p[1]).bit_count() <= 3}
+    assert {frozenset((r.u, r.v)) for r in linked.collect()} == want
+
+
 def test_components_without_ids_stay_apart(spark):
     texts = [" ".join(R.choice("abcdefghij") for _ in range(150)) for _ in range(5)]
     rows = [(None, t) for t in texts] + [(None, texts[0]), (7, texts[1])]
