@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from ..config import AnswerConfig
 from ..functions.arrays import let, places
+from ..session import stored
 from .ranking import top_k
 
 
@@ -386,8 +387,12 @@ def best_answer_or_null(nested: DataFrame, threshold: float = 0.0) -> DataFrame:
 def postprocess(
     examples: DataFrame, features: DataFrame, cfg: AnswerConfig = AnswerConfig()
 ) -> tuple[DataFrame, DataFrame]:
-    """Predictions and n-best lists of scored windows."""
-    nested = nbest(examples, features, cfg)
+    """Predictions and n-best lists of scored windows.
+
+    The lists are written, a short array per example: both results are read from
+    them, so windows are scored and ranked once.
+    """
+    nested = stored(nbest(examples, features, cfg), "nbest")
     if cfg.allow_null:
         return best_answer_or_null(nested, cfg.null_threshold), nested
     return best_answer(nested), nested

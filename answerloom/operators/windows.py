@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from ..config import ReaderConfig
-from ..functions.text import hashed_words, word_spans
+from ..functions.text import TEXT_BYTES, hashed_words, runs_of, word_spans
 
 
 def resolve_roles(df: DataFrame, with_answers: bool = False) -> DataFrame:
@@ -25,21 +27,24 @@ def resolve_roles(df: DataFrame, with_answers: bool = False) -> DataFrame:
 def encode(df: DataFrame, cfg: ReaderConfig) -> DataFrame:
     """Add ids and character spans of question (``q_*``) and context (``c_*``) words.
 
-    The words of a batch of rows are found at once, in one pass over both texts.
+    The words of some ``TEXT_BYTES`` of rows are found and handed on at once, in one pass over both
+    texts: spans and ids take several times the bytes of their texts.
     """
     df = df.drop("q_ids", "q_offsets", "c_ids", "c_offsets")
     vocab_size, n_special = cfg.vocab_size, cfg.n_special
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            added = {}
-            for side, name in (("q", "question"), ("c", "context")):
-                texts = batch.column(name)
-                added[f"{side}_ids"] = hashed_words(texts, vocab_size, n_special)
-                added[f"{side}_offsets"] = word_spans(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *added.values()], names=[*batch.schema.names, *added]
-            )
+        for whole in batches:
+            sizes = sum(pc.binary_length(whole.column(n)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("question", "context"))
+            for at, to in runs_of(sizes, TEXT_BYTES):
+                batch, added = whole.slice(at, to - at), {}
+                for side, name in (("q", "question"), ("c", "context")):
+                    texts = batch.column(name)
+                    added[f"{side}_ids"] = hashed_words(texts, vocab_size, n_special)
+                    added[f"{side}_offsets"] = word_spans(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *added.values()], names=[*batch.schema.names, *added]
+                )
 
     schema = StructType(list(df.schema.fields))
     span = StructType().add("start", IntegerType()).add("end", IntegerType())

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ReaderConfig
-from ..functions.text import lists_of, token_offsets, tokenize, words_with_gaps
+from ..functions.text import tokenize, words_with_gaps
 from ..operators.passages import dedup_passages
 from ..operators.sizing import query_blocks, union_all
 from ..operators.windows import make_windows, mask_offsets
@@ -111,12 +109,23 @@ def qa_span(passages: DataFrame) -> DataFrame:
 
     Passages without words have no answer.
     """
-    spans = passages.select("pid", "text", token_offsets(F.col("text")).alias("o"))
+    # The words, and each with the blanks after it: their lengths give the places of the words.
+    words, pieces = (F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (r"[^\s]+", r"[^\s]+\s*"))
+    spans = passages.select("pid", "text", words.alias("o"), pieces.alias("p"))
     n = F.size("o")
     k = F.when(n > 0, (F.col("pid") % n).cast("int")).otherwise(0)
     placed = spans.withColumn("k", k)
-    start = F.get("o", F.col("k"))["start"]
-    end = F.get("o", F.least(F.col("k") + 3, F.size("o") - 1))["end"]
+    last = F.least(F.col("k") + 3, F.size("o") - 1)
+
+    def chars(pieces: Column) -> Column:
+        return F.length(F.array_join(pieces, ""))
+
+    def before(place: Column) -> Column:
+        return F.length("text") - chars(F.col("p")) + chars(F.slice("p", 1, F.greatest(place, F.lit(0))))
+
+    # A place without a word has no span.
+    start = F.when(F.get("o", F.col("k")).isNotNull(), before(F.col("k")))
+    end = before(last) + F.length(F.get("o", last))
     answered = F.size("o") > 0
     return placed.select(
         F.col("pid").alias("id"),
@@ -159,18 +168,11 @@ def logits(windows: DataFrame) -> DataFrame:
 
     def stepped(step: int, modulus: int) -> Column:
         """``((at + i * step) % modulus) / 100`` for every place ``i`` of a window."""
-
-        def run(ats: pa.Array, sizes: pa.Array) -> pa.Array:
-            n = sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            firsts = np.concatenate([[0], np.cumsum(n)])
-            place = np.arange(firsts[-1]) - np.repeat(firsts[:-1], n)
-            first = np.repeat(ats.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), n)
-            # The sign of a remainder is that of the dividend, as in SQL.
-            values = np.fmod(first + place * step, modulus) / 100.0
-            unknown = np.repeat(ats.is_null().to_numpy(zero_copy_only=False), n)
-            return lists_of(pa.array(values, mask=unknown), firsts, sizes)
-
-        return F.arrow_udf(run, "array<double>")(at, F.size("input_ids"))
+        n = F.size("input_ids")
+        sums = F.sequence(at, at + (n - 1) * step, F.lit(step).cast("long"))
+        values = F.transform(sums, lambda x: x % modulus / F.lit(100.0))
+        unknown = F.transform("input_ids", lambda _: F.lit(None).cast("double"))
+        return F.when((n > 0) & at.isNotNull(), values).otherwise(unknown)
 
     return mask_offsets(windows).withColumns(
         {"start_logits": stepped(31, 251), "end_logits": stepped(53, 257)}

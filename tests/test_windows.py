@@ -1,3 +1,4 @@
+import math
 import re
 
 import pytest
@@ -77,6 +78,44 @@ def test_overlap_must_leave_room(spark):
         W.make_windows(df, ReaderConfig(max_seq_length=10, doc_stride=5)).collect()
 
 
+def test_encode_hands_on_bounded_batches(spark, monkeypatch):
+    rows = [(i, "which word", "w " * (i * 40 + 1)) for i in range(30)] + [(30, "none", ""), (31, None, "a b")]
+    examples = spark.createDataFrame(rows, "id long, question string, context string").coalesce(1)
+    seen = []
+    monkeypatch.setattr(type(examples), "mapInArrow", lambda self, run, schema: seen.append(run))
+    W.encode(examples, ReaderConfig())
+    monkeypatch.undo()
+    monkeypatch.setattr(W, "TEXT_BYTES", 4000)
+    parts = list(seen[0](examples.toArrow().to_batches()))
+    assert all(b.num_rows == 1 or sum(len(t) for t in b.column("context").to_pylist()) <= 4000 for b in parts)
+    assert [i for b in parts for i in b.column("id").to_pylist()] == list(range(32))
+    assert [len(o) for b in parts for o in b.column("c_offsets").to_pylist()] == [len(c.split()) for *_, c in rows]
+
+
+def test_scored_examples_need_one_python_step_before_the_spans(spark):
+    from answerloom.suite import fixtures as X
+
+    texts = ["", "   ", "one", " a  b\tc\n", "x y z w v", "é ü\u00a0ß 日本 語 "]
+    passages = spark.createDataFrame([(i - 2, t) for i, t in enumerate(texts)] + [(9, None)], "pid long, text string")
+    examples = X.qa_span(passages)
+    features = X.logits(W.make_windows(examples))
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.count("MapInArrow") == 1
+    for r in examples.where("id >= 0").collect():
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^ \t-\r]+", r["context"] or "")]
+        k = r["id"] % len(words) if words else 0
+        start, end = (words[k][0], words[min(k + 3, len(words) - 1)][1]) if words else (0, 0)
+        assert r["answers"]["answer_start"] == ([start] if words else [])
+        assert r["answers"]["text"] == ([r["context"][start:end]] if words else [])
+    for r in features.collect():
+        if r["input_ids"] is None:
+            assert r["start_logits"] is None and r["end_logits"] is None
+        for name, step, modulus in (("start_logits", 31, 251), ("end_logits", 53, 257)):
+            at = r["example_id"] * 7919 + r["window_no"] * 104729
+            want = [math.fmod(at + i * step, modulus) / 100 for i in range(len(r["input_ids"] or []))]
+            assert (r[name] or []) == want
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="context"):
         W.make_windows(frame(spark, example("a", "x")).drop("context"))
