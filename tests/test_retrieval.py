@@ -1,5 +1,7 @@
 import math
+import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -414,3 +416,31 @@ def test_tasks_send_few_scores_and_repeated_ids_share_a_norm(spark, queries, mon
                 sums[r["pid"]] += r["weight"] * asked[r["term"]]
         got = {r["pid"]: r["score"] for r in every if r["id"] == q}
         assert got.keys() == sums.keys() and all(abs(got[p] - sums[p]) < 1e-9 for p in got)
+
+
+def test_written_rows_give_the_clusters_of_postings_and_are_not_written_again(spark):
+    from dataclasses import replace
+
+    from answerloom.operators import tfidf_ivf as K
+    from answerloom.session import work_dir
+
+    words = random.Random(5)
+    texts = [(i, " ".join(words.choice("abcdefghijkl") * 2 for _ in range(12))) for i in range(60)]
+    passages = spark.createDataFrame([*texts, (3, "aa bb"), (70, "!")], "pid long, text string")
+    before = {p.name for p in Path(work_dir(spark).removeprefix("file:")).iterdir()}
+    index = fit_tfidf(passages, TfidfConfig(max_features=50), write=True)
+    by_row = K.build_tfidf_ivf(index, passages, n_clusters=4, iterations=3)
+    new = {p.name for p in Path(work_dir(spark).removeprefix("file:")).iterdir()} - before
+    assert sum(n.startswith(("postings-", "weights-")) for n in new) == 1
+    assert not any(n.startswith("tokens-") for n in new)
+    plain = K.build_tfidf_ivf(replace(index, rows=None, written=False), passages, n_clusters=4, iterations=3)
+
+    def lists(ivf):
+        return sorted((r.pid, r.cluster) for r in ivf.lists.collect())
+
+    def rounded(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+    assert lists(by_row) == lists(plain) and rounded(by_row.centers) == rounded(plain.centers)
+    assert by_row.index.postings.columns == plain.index.postings.columns
+    assert rounded(by_row.index.postings) == rounded(plain.index.postings)
