@@ -246,3 +246,21 @@ def test_block_maxima_lie_with_the_postings(spark, tmp_path):
     old.write.mode("overwrite").parquet(f"{path}/index_meta")
     with pytest.raises(SI.StaleIndex):
         SI.load_index(spark, path, cfg, "x")
+
+
+def test_a_built_index_leaves_no_words_or_weights_behind(spark, tmp_path):
+    from pathlib import Path
+
+    from answerloom.session import discard, stored, work_dir
+
+    def folders():
+        return {p.name for p in Path(work_dir(spark).removeprefix("file:")).iterdir()}
+
+    passages = spark.createDataFrame([(1, "red fox"), (2, "red hen"), (3, "")], "pid long, text string")
+    before = folders()
+    index = SI.load_or_build(passages, str(tmp_path / "index"))
+    assert index.postings.count() == 6
+    assert not [n for n in folders() - before if n.startswith(("tokens-", "weights-"))]
+    kept, gone = stored(passages, "kept one"), stored(passages, "gone")
+    discard(gone)
+    assert kept.count() == 3 and not [n for n in folders() - before if n.startswith("gone")]
